@@ -1,0 +1 @@
+"""Nothing here: every stage of the application is a batch job."""
