@@ -64,5 +64,8 @@ def user_profile(assignments: DataFrame, user_id: str, predictions: DataFrame |
 
 
 def bulk_profiles(assignments: DataFrame, ids: DataFrame) -> DataFrame:
-    """Profiles of the distinct ids in a frame with column ``user_id``; unknown ids give no row."""
-    return user_profiles(assignments.join(ids.select("user_id"), "user_id", "left_semi"))
+    """Profiles of the distinct ids in a frame with column ``user_id``; unknown ids give no row.
+
+    Ids are made distinct first, so an id that fills much of the frame is not shuffled row by row.
+    """
+    return user_profiles(assignments.join(ids.select("user_id").distinct(), "user_id", "left_semi"))

@@ -89,7 +89,7 @@ def name_clusters(rows: DataFrame, names: dict[int, str] | None = None) -> DataF
     return rows.withColumn("archetype", rules.archetype(F.col("cluster"), names))
 
 
-def describe_clusters(centers: DataFrame, sizes: DataFrame, silhouette: float) -> DataFrame:
+def describe_clusters(centers: DataFrame, sizes: DataFrame, silhouette: float | None) -> DataFrame:
     """One record per centre (cluster_id, centroid), also for clusters nobody is in."""
     sized = centers.join(sizes, centers["cluster_id"] == sizes["cluster"], "left")
     rounded = F.transform("centroid", lambda v: F.round(v, 4))
@@ -98,7 +98,7 @@ def describe_clusters(centers: DataFrame, sizes: DataFrame, silhouette: float) -
         rules.archetype(F.col("cluster_id")).alias("archetype"),
         F.coalesce("n_users", F.lit(0)).alias("user_count"),
         rounded.alias("centroid"),
-        F.round(F.lit(silhouette), 4).alias("silhouette"),
+        F.round(F.lit(silhouette).cast("double"), 4).alias("silhouette"),
     )
 
 
@@ -109,7 +109,8 @@ def cluster_metadata(segmentation: Segmentation, rows: DataFrame, training_cost:
         [(i, [float(v) for v in c]) for i, c in enumerate(segmentation.clusters.clusterCenters())],
         "cluster_id int, centroid array<double>",
     )
-    score = evaluation.silhouette(clustered)
+    # Too few users may leave a single cluster, for which there is no silhouette.
+    score = evaluation.silhouette(clustered) if centers.count() > 1 else None
     records = describe_clusters(centers, cluster_sizes(clustered), score).to(schemas.CLUSTER_METADATA)
     if not training_cost:
         return records

@@ -77,10 +77,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blanked.withColumn("status", disposition(gone, F.lit(True))).drop("corrupt")
 
 
+def as_json(rows: DataFrame) -> Column:
+    """JSON text of a clickstream row."""
+    return F.to_json(F.struct(*[c for c in rows.columns if c not in ("event_id", "corrupt", "ts")]))
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as JSON text, in columns ``event_id`` and ``line``."""
     rows = clickstream(spark, sf_dir)
-    fields = [c for c in rows.columns if c not in ("event_id", "corrupt", "ts")]
-    good = F.to_json(F.struct(*fields))
     bad = F.lit('{"_corrupt": true, "raw": "}{broken_json"}')
-    return rows.select("event_id", F.when(F.col("corrupt"), bad).otherwise(good).alias("line"))
+    return rows.select("event_id", F.when(F.col("corrupt"), bad).otherwise(as_json(rows)).alias("line"))

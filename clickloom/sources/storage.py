@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,29 +32,39 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def export_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-
-
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def save_table(df: DataFrame, table: str, partition_by: str | None = None, order_by: str | None = None) -> None:
-    """Replace a columnar table.
+def _placed(df: DataFrame, partition_by: str | None, order_by: str | None) -> DataFrame:
+    """Rows arranged for a write.
 
-    A partitioned write is rebalanced on the partition column first: adaptive execution then splits a
-    day that holds much of the data and merges days that hold little, instead of one file per task and day.
+    A partitioned write is rebalanced on the partition column: adaptive execution then splits a day
+    that holds much of the data and merges days that hold little, instead of one file per task and day.
     """
     if partition_by:
         df = df.hint("rebalance", partition_by)
-    if order_by:
-        df = df.sortWithinPartitions(*[c for c in (partition_by, order_by) if c])
-    writer = df.write.mode("overwrite").format("orc").option("compression", "snappy")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(table)
+    keys = [c for c in (partition_by, order_by) if c]
+    return df.sortWithinPartitions(*keys) if order_by else df
+
+
+def _writer(df: DataFrame, file_format: str, partition_by: str | None, order_by: str | None) -> DataFrameWriter:
+    writer = _placed(df, partition_by, order_by).write.mode("overwrite").format(file_format)
+    writer = writer.option("compression", "snappy")
+    return writer.partitionBy(partition_by) if partition_by else writer
+
+
+def save_table(df: DataFrame, table: str, partition_by: str | None = None, order_by: str | None = None) -> None:
+    """Replace a columnar table."""
+    _writer(df, "orc", partition_by, order_by).saveAsTable(table)
+
+
+def export_parquet(
+    df: DataFrame, path: str, partition_by: str | None = None, order_by: str | None = None
+) -> None:
+    """Replace a Parquet directory."""
+    _writer(df, "parquet", partition_by, order_by).save(path)
 
 
 def write_records(df: DataFrame, path: str) -> None:
