@@ -1,5 +1,7 @@
 """Split, vector assembly and scaling."""
 
+import math
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import MinMaxScaler, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
@@ -18,12 +20,14 @@ def split(rows: DataFrame, fraction: float = C.TRAIN_FRACTION) -> tuple[DataFram
     return rows.where(train), rows.where(~train)
 
 
-def arranged(rows: DataFrame) -> DataFrame:
-    """Fixed row placement, so that iterative fits do not depend on how the input was stored.
+def arranged(rows: DataFrame, users_per_partition: int = 100_000) -> DataFrame:
+    """Row placement that depends on nothing but the users, so that iterative fits are repeatable.
 
-    Users are unique, so hashing on the id spreads them evenly.
+    Users are unique, so hashing on the id spreads them evenly. The number of partitions follows the
+    number of users: each iteration of a fit visits every partition, and empty ones only cost time.
     """
-    return rows.repartition("user_id").sortWithinPartitions("user_id")
+    partitions = max(1, math.ceil(rows.count() / users_per_partition))
+    return rows.repartition(partitions, "user_id").sortWithinPartitions("user_id")
 
 
 def assembler(inputs: list[str], output: str) -> VectorAssembler:

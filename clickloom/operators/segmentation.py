@@ -4,7 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import BisectingKMeans
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +21,19 @@ ASSIGNMENT_COLUMNS = [
 
 @dataclass(frozen=True)
 class Segmentation:
-    """Fitted scaler, clusters and projection in one pipeline, with the sign of each projected axis."""
+    """Fitted scalers, clusters and projection in one pipeline, with the sign of each projected axis."""
 
     model: PipelineModel
     signs: tuple[float, ...]
 
+    @property
+    def centers(self) -> list[list[float]]:
+        """Cluster centres in terms of the centred and scaled features."""
+        scaler = self.model.stages[1]
+        deviations = scaler.std.toArray()
+        offset = [m / d if d > 0 else 0.0 for m, d in zip(scaler.mean.toArray(), deviations)]
+        return [[float(v - o) for v, o in zip(c, offset)] for c in self.clusters.clusterCenters()]
+
     @property
     def clusters(self):
         return self.model.stages[-2]
@@ -47,7 +55,7 @@ class Segmentation:
 
 def bisecting_k_means(k: int = C.CLUSTERS) -> BisectingKMeans:
     return BisectingKMeans(
-        featuresCol="standard_features", predictionCol="cluster", k=k, maxIter=30, seed=C.SEED,
+        featuresCol="spread_features", predictionCol="cluster", k=k, maxIter=30, seed=C.SEED,
         minDivisibleClusterSize=20,
     )
 
@@ -59,11 +67,19 @@ def _signs(projection) -> tuple[float, ...]:
 
 
 def fit(rows: DataFrame, k: int = C.CLUSTERS) -> Segmentation:
+    """Fit clusters and projection on complete feature rows.
+
+    Clusters are fitted on features scaled but not centred. Distances, and so clusters, are the same, but
+    a bisection starts from two centres a small share of the parent's length apart: around a parent at
+    zero both would coincide, and rounding would decide whether the users are split at all.
+    """
     scaler = scaling.fit_standard(rows)
     scaled = scaler.transform(rows)
-    clusters = bisecting_k_means(k).fit(scaled)
+    spread = StandardScaler(inputCol="raw_features", outputCol="spread_features", withMean=False, withStd=True)
+    spread = spread.fit(scaled)
+    clusters = bisecting_k_means(k).fit(spread.transform(scaled))
     projection = PCA(k=2, inputCol="standard_features", outputCol="pca_features").fit(scaled)
-    return Segmentation(PipelineModel([*scaler.stages, clusters, projection]), _signs(projection))
+    return Segmentation(PipelineModel([*scaler.stages, spread, clusters, projection]), _signs(projection))
 
 
 def explained_variance(segmentation: Segmentation) -> DataFrame:
@@ -106,11 +122,11 @@ def cluster_metadata(segmentation: Segmentation, rows: DataFrame, training_cost:
     """Cluster records of a fitted segmentation; optionally with its within-set error."""
     clustered = segmentation.model.transform(rows)
     centers = _local(
-        [(i, [float(v) for v in c]) for i, c in enumerate(segmentation.clusters.clusterCenters())],
+        list(enumerate(segmentation.centers)),
         "cluster_id int, centroid array<double>",
     )
     # Too few users may leave a single cluster, for which there is no silhouette.
-    score = evaluation.silhouette(clustered) if centers.count() > 1 else None
+    score = evaluation.silhouette(clustered) if len(segmentation.centers) > 1 else None
     records = describe_clusters(centers, cluster_sizes(clustered), score).to(schemas.CLUSTER_METADATA)
     if not training_cost:
         return records
