@@ -6,11 +6,17 @@ from pyspark.sql import functions as F
 from clickloom import schemas
 from clickloom.sources import storage
 
+# Spaces belong to an id.
+_FORMAT = {"sep": "\t", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless (user_id, action, cnt) files anywhere below a directory: the union of all runs."""
-    reader = spark.read.schema(schemas.COUNTS).option("sep", "\t").option("recursiveFileLookup", "true")
-    return reader.csv(path)
+    """Headerless (user_id, action, cnt) files anywhere below a directory: the union of all runs.
+
+    Counts have no missing ids, but the reader takes an empty id for one.
+    """
+    reader = spark.read.schema(schemas.COUNTS).options(**_FORMAT, recursiveFileLookup=True)
+    return reader.csv(path).fillna("", ["user_id", "action"])
 
 
 def read_latest_run(spark: SparkSession, path: str) -> DataFrame:
@@ -24,7 +30,7 @@ def write_counts(counts: DataFrame, path: str, run_id: str) -> None:
     Counts are already partitioned by user, so sorting within partitions is enough.
     """
     ordered = counts.select("user_id", "action", "cnt").sortWithinPartitions("user_id", "action")
-    ordered.write.option("sep", "\t").csv(f"{path}/run_id={run_id}")
+    ordered.write.options(**_FORMAT).csv(f"{path}/run_id={run_id}")
 
 
 def validate_lines(lines: DataFrame, column: str = "value") -> DataFrame:

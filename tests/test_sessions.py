@@ -1,0 +1,86 @@
+import pytest
+from conftest import record
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from clickloom.operators import sessions
+
+
+def test_first_country_by_time_then_order_then_name(typed):
+    def event(second, country, order):
+        return record(timestamp=f"2024-03-01T10:00:0{second}", client={"country": country}, event_order=order)
+
+    assert sessions.session_country(typed(event(2, "US", 1), event(1, "DE", 5), event(1, "IN", 4))).first().country == "IN"
+    assert sessions.session_country(typed(event(1, "US", 1), event(1, "DE", 1))).first().country == "DE"
+
+
+def test_missing_first_country_stays_missing(typed):
+    rows = typed(
+        record(timestamp="2024-03-01T10:00:00", client={}),
+        record(timestamp="2024-03-01T10:00:09", client={"country": "US"}),
+    )
+    assert sessions.session_country(rows).first().country is None
+
+
+def test_single_event_session(typed):
+    row = sessions.session_features(typed(record())).first()
+    assert (row.session_events, row.avg_inter_event_sec, row.session_duration_min) == (1, None, 0.0)
+    assert sessions.session_gaps(typed(record())).first().avg_inter_event_sec is None
+
+
+def test_session_without_readable_time(typed):
+    row = sessions.session_features(typed(record(timestamp="x"), record(timestamp="y"))).first()
+    assert (row.session_events, row.avg_inter_event_sec, row.session_duration_min) == (2, None, None)
+
+
+def test_sessions_take_uncleaned_events_by_default(typed):
+    events = typed(record(), record(is_bot_flag=True), record(action="dance"), record(user_id=...), "}{")
+    assert sessions.session_features(events).first().session_events == 3
+    assert sessions.session_features(events, source="clean").first().session_events == 1
+    with pytest.raises(ValueError):
+        sessions.session_features(events, source="other")
+
+
+@pytest.mark.parametrize("query, counted", [
+    ("Machine Learning basics", 1), ("my MLOps stack", 1), ("ci/cd", 1), ("database sharding", 1),
+    ("apache sparkling water", 1), ("travel tips", 0), ("", 0), (None, 0), ("real-time analytics", 0),
+])
+def test_professional_search_terms(typed, query, counted):
+    row = sessions.session_features(typed(record(payload={"query": query}))).first()
+    assert row.n_professional_searches == counted
+
+
+def test_professional_terms_count_in_searches_only(typed):
+    events = typed(record(action="comment", payload={"query": "spark"}))
+    assert sessions.session_features(events).first().n_professional_searches == 0
+
+
+@pytest.mark.parametrize("action, dwell, counted", [
+    ("click", 30000, 0), ("click", 30001, 1), ("page_view", 90000, 0), ("click", None, 0),
+])
+def test_deep_clicks(typed, action, dwell, counted):
+    row = sessions.session_features(typed(record(action=action, payload={"dwell_time_ms": dwell}))).first()
+    assert row.n_deep_clicks == counted
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(
+    st.tuples(st.sampled_from("ab"), st.sampled_from("xy"), st.one_of(st.none(), st.integers(0, 90))),
+    min_size=1, max_size=25,
+))
+def test_mean_gap_equals_mean_of_lagged_differences(typed, items):
+    """The aggregate, the window form and a plain loop agree, whatever is missing or repeated."""
+    lines = [
+        record(user_id=u, session_id=s, timestamp="?" if t is None else f"2024-03-01T10:{t // 60:02d}:{t % 60:02d}")
+        for u, s, t in items
+    ]
+    events = typed(*lines)
+    key = lambda r: (r.user_id, r.session_id)
+    direct = {key(r): r.avg_inter_event_sec for r in sessions.session_features(events).collect()}
+    lagged = {key(r): r.avg_inter_event_sec for r in sessions.session_gaps(events).collect()}
+    expected = {}
+    for group in {(u, s) for u, s, _ in items}:
+        times = sorted(t for u, s, t in items if (u, s) == group and t is not None)
+        gaps = [b - a for a, b in zip(times, times[1:])]
+        expected[group] = sum(gaps) / len(gaps) if gaps else None
+    assert direct == pytest.approx(expected) and lagged == pytest.approx(expected)
