@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clickloom import constants as C
 from clickloom.functions import rules
 from clickloom.operators import scaling
+from clickloom.sources import storage
 
 
 def naive_bayes() -> NaiveBayes:
@@ -45,7 +46,15 @@ def _fit_on_standard(estimator, train: DataFrame, scaler: PipelineModel | None)
 
 
 def fit_linear_svm(train: DataFrame, scaler: PipelineModel | None = None) -> PipelineModel:
-    return _fit_on_standard(linear_svm(), train, scaler)
+    """Fitted margin classifier, stored and loaded once.
+
+    A freshly fitted model keeps a training summary that refers to the session, and scoring would ship
+    both to every task. The loaded model has coefficients only.
+    """
+    fitted = _fit_on_standard(linear_svm(), train, scaler)
+    path = storage.scratch_dir(train.sparkSession, "linear_svm")
+    storage.save_model(fitted, path)
+    return PipelineModel.load(path)
 
 
 def fit_perceptron(train: DataFrame, scaler: PipelineModel | None = None) -> PipelineModel:
