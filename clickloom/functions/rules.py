@@ -1,8 +1,7 @@
 """Business rules as column expressions."""
 
-import re
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,16 +9,21 @@ from pyspark.sql import functions as F
 from clickloom import constants as C
 
 
-def any_of(terms: list[str]) -> str:
-    return "|".join(re.escape(term) for term in terms)
+def contains_any(text: Column, terms: list[str]) -> Column:
+    """Whether a text holds one of the terms, whatever its case; a missing text holds none.
 
+    Byte search per term is several times faster than one regular expression over all of them.
+    """
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    return reduce(or_, [F.contains(lowered, F.lit(term)) for term in terms])
 
-BOT_PATTERN = any_of(C.BOT_AGENT_TERMS)
-PROFESSIONAL_PATTERN = any_of(C.PROFESSIONAL_TERMS)
 
-
-def is_bot(flag: Column, agent: Column, pattern: str = BOT_PATTERN) -> Column:
-    named = F.coalesce(agent, F.lit("")).rlike(f"(?i)({pattern})")
+def is_bot(flag: Column, agent: Column, pattern: str | None = None) -> Column:
+    """Flagged, or named by the agent: a bot term, or a match of ``pattern`` if one is given."""
+    if pattern is None:
+        named = contains_any(agent, C.BOT_AGENT_TERMS)
+    else:
+        named = F.coalesce(agent, F.lit("")).rlike(f"(?i)({pattern})")
     return F.coalesce(flag, F.lit(False)) | named
 
 
@@ -29,7 +33,7 @@ def too_short(action: Column, dwell_ms: Column, minimum: int = C.MIN_DWELL_MS) -
 
 
 def is_professional_search(action: Column, query: Column) -> Column:
-    return (action == "search") & F.lower(F.coalesce(query, F.lit(""))).rlike(PROFESSIONAL_PATTERN)
+    return (action == "search") & contains_any(query, C.PROFESSIONAL_TERMS)
 
 
 def is_deep_click(action: Column, dwell_ms: Column) -> Column:

@@ -19,7 +19,7 @@ def disposition(
     corrupt: Column,
     ids_are_text: Column,
     min_dwell_ms: int = C.MIN_DWELL_MS,
-    bot_pattern: str = rules.BOT_PATTERN,
+    bot_pattern: str | None = None,
 ) -> Column:
     """First of corrupt, invalid, bot, emitted that applies to a typed record."""
     action = F.col("action")

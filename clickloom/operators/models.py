@@ -40,25 +40,27 @@ def fit_naive_bayes(train: DataFrame) -> PipelineModel:
     return PipelineModel([*scaler.stages, naive_bayes().fit(scaler.transform(train))])
 
 
-def _fit_on_standard(estimator, train: DataFrame, scaler: PipelineModel | None) -> PipelineModel:
-    scaler = scaler or scaling.fit_standard(train)
-    return PipelineModel([*scaler.stages, estimator.fit(scaler.transform(train))])
+def _loaded(model: PipelineModel, train: DataFrame) -> PipelineModel:
+    """The model as stored: a freshly fitted one keeps a training summary that refers to the session, and
+    scoring would ship both to every task."""
+    path = storage.scratch_dir(train.sparkSession, "model")
+    storage.save_model(model, path)
+    return PipelineModel.load(path)
 
 
-def fit_linear_svm(train: DataFrame, scaler: PipelineModel | None = None) -> PipelineModel:
-    """Fitted margin classifier, stored and loaded once.
+def fit_on_standard(train: DataFrame, *estimators) -> list[PipelineModel]:
+    """Pipelines of the estimators over one fitted scaler and one copy of the scaled vectors."""
+    scaler = scaling.fit_standard(train)
+    vectors = storage.cut(scaler.transform(train).select("label", "standard_features"))
+    return [_loaded(PipelineModel([*scaler.stages, e.fit(vectors)]), train) for e in estimators]
 
-    A freshly fitted model keeps a training summary that refers to the session, and scoring would ship
-    both to every task. The loaded model has coefficients only.
-    """
-    fitted = _fit_on_standard(linear_svm(), train, scaler)
-    path = storage.scratch_dir(train.sparkSession, "linear_svm")
-    storage.save_model(fitted, path)
-    return PipelineModel.load(path)
 
+def fit_linear_svm(train: DataFrame) -> PipelineModel:
+    return fit_on_standard(train, linear_svm())[0]
 
-def fit_perceptron(train: DataFrame, scaler: PipelineModel | None = None) -> PipelineModel:
-    return _fit_on_standard(perceptron(), train, scaler)
+
+def fit_perceptron(train: DataFrame) -> PipelineModel:
+    return fit_on_standard(train, perceptron())[0]
 
 
 @dataclass(frozen=True)
@@ -78,12 +80,8 @@ class Ensemble:
 
 
 def fit_ensemble(train: DataFrame) -> Ensemble:
-    scaler = scaling.fit_standard(train)
-    return Ensemble({
-        "nb_pred": fit_naive_bayes(train),
-        "svm_pred": fit_linear_svm(train, scaler),
-        "mlp_pred": fit_perceptron(train, scaler),
-    })
+    svm, mlp = fit_on_standard(train, linear_svm(), perceptron())
+    return Ensemble({"nb_pred": fit_naive_bayes(train), "svm_pred": svm, "mlp_pred": mlp})
 
 
 def vote(rows: DataFrame, columns: list[str]) -> DataFrame:

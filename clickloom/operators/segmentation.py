@@ -13,6 +13,7 @@ from clickloom import constants as C
 from clickloom import schemas
 from clickloom.functions import rules
 from clickloom.operators import evaluation, scaling
+from clickloom.sources import storage
 
 ASSIGNMENT_COLUMNS = [
     "user_id", "cluster", "pca_x", "pca_y", "label", "professional_ratio", "total_actions", "total_sessions",
@@ -77,8 +78,9 @@ def fit(rows: DataFrame, k: int = C.CLUSTERS) -> Segmentation:
     scaled = scaler.transform(rows)
     spread = StandardScaler(inputCol="raw_features", outputCol="spread_features", withMean=False, withStd=True)
     spread = spread.fit(scaled)
-    clusters = bisecting_k_means(k).fit(spread.transform(scaled))
-    projection = PCA(k=2, inputCol="standard_features", outputCol="pca_features").fit(scaled)
+    vectors = storage.cut(spread.transform(scaled).select("standard_features", "spread_features"))
+    clusters = bisecting_k_means(k).fit(vectors)
+    projection = PCA(k=2, inputCol="standard_features", outputCol="pca_features").fit(vectors)
     return Segmentation(PipelineModel([*scaler.stages, spread, clusters, projection]), _signs(projection))
 
 

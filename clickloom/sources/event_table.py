@@ -34,32 +34,36 @@ def _pick(values: list[str], index: Column) -> Column:
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed events without status, plus ``event_id`` and ``corrupt``."""
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    uid = F.col("uid")
     kind = F.regexp_extract("props", "[0-9]+", 0).cast("int") % len(C.ACTIONS)
-    uid = F.col("user_id")
-    action = _pick(C.ACTIONS, kind)
+    facts = (
+        spark.read.parquet(f"{sf_dir}/events.parquet")
+        .withColumnsRenamed({"user_id": "uid", "ts": "full_ts"})
+        .withColumn("action", _pick(C.ACTIONS, kind))
+        .withColumn("bot", uid % 25 == 24)
+    )
     phrase = F.when(uid % 20 < 9, _pick(PHRASES, F.col("event_id") % len(PHRASES))).otherwise(OTHER_PHRASE)
-    viewed = action.isin("click", "view_profile", "page_view")
-    bot = uid % 25 == 24
-    agent = F.when(bot, BOT_AGENT).otherwise(_pick(AGENTS, F.col("event_id") % len(AGENTS)))
+    viewed = F.col("action").isin("click", "view_profile", "page_view")
+    agent = F.when(F.col("bot"), BOT_AGENT).otherwise(_pick(AGENTS, F.col("event_id") % len(AGENTS)))
     payload = F.struct(
-        F.when(action == "search", phrase).alias("query"),
+        F.when(F.col("action") == "search", phrase).alias("query"),
         F.when(viewed, F.floor(F.col("value") * 1000)).cast("long").alias("dwell_time_ms"),
     )
     client = F.struct(
         agent.alias("user_agent"),
         _pick(COUNTRIES, F.col("event_id") % len(COUNTRIES)).alias("country"),
     )
-    return raw.select(
+    day = F.date_format("full_ts", "yyyyMMdd")
+    return facts.select(
         "event_id",
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
-        F.date_trunc("second", "ts").alias("ts"),
+        F.date_format("full_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        F.date_trunc("second", "full_ts").alias("ts"),
         F.concat(F.lit("u_"), uid.cast("string")).alias("user_id"),
-        F.concat(F.lit("s_"), uid.cast("string"), F.lit("_"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
-        action.alias("action"),
+        F.concat(F.lit("s_"), uid.cast("string"), F.lit("_"), day).alias("session_id"),
+        "action",
         payload.alias("payload"),
         client.alias("client"),
-        bot.alias("is_bot_flag"),
+        F.col("bot").alias("is_bot_flag"),
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         F.col("event_id").alias("event_order"),
         (F.col("event_id") % 100 == 99).alias("corrupt"),
@@ -67,14 +71,10 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed events with status. Corrupt lines carry nothing but their status."""
+    """Typed events with status. Corrupt lines belong to no user and no session."""
     rows = clickstream(spark, sf_dir)
-    gone = F.col("corrupt")
-    typed = [c for c in rows.columns if c not in ("event_id", "corrupt", "event_order")]
-    blanked = rows.select(
-        "event_id", "event_order", "corrupt", *[F.when(~gone, F.col(c)).alias(c) for c in typed]
-    )
-    return blanked.withColumn("status", disposition(gone, F.lit(True))).drop("corrupt")
+    owned = {c: F.when(~F.col("corrupt"), F.col(c)) for c in ("user_id", "session_id")}
+    return rows.withColumns(owned).withColumn("status", disposition(F.col("corrupt"), F.lit(True))).drop("corrupt")
 
 
 def as_json(rows: DataFrame) -> Column:

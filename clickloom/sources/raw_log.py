@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom import schemas
-from clickloom.functions import json_text, rules
+from clickloom.functions import json_text
 from clickloom.operators.cleaning import disposition
 
 _RECORD_DDL = schemas.RECORD.simpleString()
@@ -26,7 +26,7 @@ def _is_text(name: str) -> Column:
 def type_events(
     lines: DataFrame,
     min_dwell_ms: int = C.MIN_DWELL_MS,
-    bot_pattern: str = rules.BOT_PATTERN,
+    bot_pattern: str | None = None,
 ) -> DataFrame:
     """Typed event columns and status for each line of column ``line``; other columns are kept.
 

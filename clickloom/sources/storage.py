@@ -32,6 +32,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Rows in a reliable checkpoint, partitioned as they are.
+
+    Iterative fits then neither replay nor ship the plan behind their input with every job, and a lost
+    executor costs a re-read.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
