@@ -89,7 +89,7 @@ def rule_assignments(rows: DataFrame) -> DataFrame:
 def raw_scan(spark, sf_dir):
     """Write the events as gzip JSON lines, read them back typed."""
     path = storage.scratch_dir(spark, "raw_log")
-    event_table.lines(spark, sf_dir).select("line").write.option("compression", "gzip").text(path)
+    event_table.lines(spark, sf_dir).select("line").write.options(compression="gzip", maxRecordsPerFile=500_000).text(path)
     return raw_log.read_events(spark, path).select(
         F.when(F.col("status") != "corrupt", F.col("event_order")).alias("event_order"),
         "timestamp", "user_id", "session_id", "action",

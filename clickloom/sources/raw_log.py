@@ -41,27 +41,21 @@ def type_events(
         " and try_variant_get(document, '$.user_id', 'variant') is null"
     )
     text_ids = _is_text("user_id") & _is_text("session_id") & _is_text("timestamp")
-    facts = parsed.select(
+    # The record is unfolded by a generator, and a filter on its fields or on the status stays above that.
+    # Pushed below, the filter would extract the record once more for every field it looks at.
+    flat = parsed.select(
         *kept,
-        record.alias("record"),
         F.coalesce(json_text.field_type("document", "is_bot_flag"), F.lit("VOID")).alias("flag_type"),
         text_ids.alias("ids_are_text"),
         (F.col("document").isNull() | has_only_raw).alias("corrupt"),
         (json_text.stripped(F.col("line")) == "").alias("blank"),
         F.xxhash64("line").alias("line_hash"),
-    )
-    flat = facts.select(
-        *kept,
-        F.col("record.timestamp").alias("timestamp"),
-        F.try_to_timestamp(F.col("record.timestamp")).alias("ts"),
-        *[F.col(f"record.{name}").alias(name) for name in ("user_id", "session_id", "action")],
-        F.col("record.payload").alias("payload"),
-        F.col("record.client").alias("client"),
-        json_text.truthy(F.col("record.is_bot_flag"), F.col("flag_type")).alias("is_bot_flag"),
-        F.col("record.schema_version").alias("schema_version"),
-        F.coalesce(F.col("record.event_order"), F.col("line_hash")).alias("event_order"),
-        "ids_are_text", "corrupt", "blank",
-    )
+        F.inline(F.array(record)),
+    ).withColumns({
+        "ts": F.try_to_timestamp(F.col("timestamp")),
+        "is_bot_flag": json_text.truthy(F.col("is_bot_flag"), F.col("flag_type")),
+        "event_order": F.coalesce("event_order", "line_hash"),
+    })
     status = F.when(F.col("blank"), "blank").otherwise(
         disposition(F.col("corrupt"), F.col("ids_are_text"), min_dwell_ms, bot_pattern)
     )

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from conftest import record
 from pyspark.sql import functions as F
 
 from checks.registry import QUERIES
@@ -76,3 +77,9 @@ def test_hot_session_matches_brute_force(spark, small):
     assert found.avg_inter_event_sec == pytest.approx(sum(gaps) / len(gaps))
     user = features.feature_table(events).where("user_id = 'u_hot'").first()
     assert user.total_actions == sum(r.status == "emitted" for r in rows) and user.total_sessions == 1
+
+
+def test_a_filter_on_status_does_not_parse_again(typed):
+    """One parse and its repair, one record, however many record fields the filter looks at."""
+    text = plan(counts.action_counts(typed(record())))
+    assert text.count("parseJson") == 2 and text.count("StructField(timestamp,") == 1
