@@ -1,3 +1,71 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+#: ASCII letters in lower case; words as runs of letters, digits and non-ASCII characters.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
 ORACLES: dict[str, str] = {}
+
+ORACLES["op8_benchmark_decontamination"] = f"""
+WITH item_words AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + least(13, len(w)) - 1) AS p
+  FROM item_words, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS r(i) WHERE len(w) > 0
+),
+doc_words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+sizes AS (SELECT DISTINCT len(p) AS n FROM windows),
+places AS (SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS p FROM doc_words, sizes, unnest(range(1, len(w) - n + 2)) AS r(i)),
+hits AS (SELECT DISTINCT doc_id, i, n, item_id FROM places JOIN windows USING (p)),
+hit_words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM hits, unnest(range(i, i + n)) AS r(j) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""
+
+ORACLES["op10_stupid_backoff"] = f"""
+WITH words AS (
+  SELECT doc_id, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS before
+  FROM (SELECT doc_id, {_WORDS} AS w FROM documents), unnest(range(1, len(w) + 1)) AS r(i)
+),
+singles AS (SELECT word, count(*) AS n, sum(count(*)) OVER () AS total FROM words GROUP BY word),
+pairs AS (SELECT before, word, count(*) AS n FROM words WHERE before IS NOT NULL GROUP BY before, word HAVING count(*) >= 2),
+scored AS (
+  SELECT doc_id, CASE WHEN i = 1 THEN s.n / s.total WHEN p.n IS NOT NULL THEN p.n / b.n ELSE 0.4::DOUBLE * s.n / s.total END AS s
+  FROM words JOIN singles s USING (word) LEFT JOIN singles b ON b.word = words.before
+  LEFT JOIN pairs p ON p.before = words.before AND p.word = words.word
+)
+SELECT d.doc_id, count(s.s) AS n_words, round(coalesce(sum(log10(s.s)), 0), 4) + 0.0 AS log_score
+FROM documents d LEFT JOIN scored s USING (doc_id) GROUP BY d.doc_id
+"""
+
+#: The table of CRC-32 (reflected polynomial EDB88320), made by shifting each byte value eight times.
+_CRC_TABLE = """crc_steps AS (
+  SELECT v, 0 AS k, v AS c FROM range(256) AS r(v)
+  UNION ALL SELECT v, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_steps WHERE k < 8
+),
+crc_table AS (SELECT list(c ORDER BY v) AS t FROM crc_steps WHERE k = 8)"""
+
+ORACLES["op7_stratified_interleaving"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS shuffled,
+    coalesce('s' || source, '') AS stratum,
+    xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+      lambda h: ('0x' || h)::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM documents, crc_table
+),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY shuffled, doc_id, text_crc32, size) - 0.5::DOUBLE)
+    / count(*) OVER (PARTITION BY stratum) AS fraction FROM sized
+),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, stratum, shuffled, doc_id, text_crc32, size) - 1 AS place, count(*) OVER () AS n FROM ranked
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place * 8 // n AS INTEGER) AS shard,
+  place - ((place * 8 // n) * n + 7) // 8 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM placed
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, decontamination, sharding, simhash, suffix_dedup
+from clickloom.llm import bpe, decontamination, ngram_lm, sharding, simhash, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +65,9 @@ def op7_stratified_interleaving(spark, sf_dir):
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op10_stupid_backoff(spark, sf_dir):
+    scored = ngram_lm.score(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_words", (F.round("log_score", 4) + 0.0).alias("log_score"))
