@@ -28,8 +28,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word of texts that lie side by side, and the first word of each text.
+def terms(data: np.ndarray, offsets: np.ndarray, places: bool = False) -> tuple[np.ndarray, ...]:
+    """Hash of each word of texts that lie side by side, and the first word of each text; with ``places`` also where
+    each word begins.
 
     Words are runs of ASCII letters and digits and of all non-ASCII characters, with A-Z in lower case.
     """
@@ -41,7 +42,8 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after = np.append(word, False)[1:] & ~edge[1:]
     starts = np.flatnonzero(word & ~before)
     ends = np.flatnonzero(word & ~after) + 1
-    return hashing.Polynomial(data).of(starts, ends).view(np.int64), np.searchsorted(starts, offsets)
+    found = hashing.Polynomial(data).of(starts, ends).view(np.int64), np.searchsorted(starts, offsets)
+    return (*found, starts) if places else found
 
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: np.ndarray | None = None) -> DataFrame:

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, decontamination, ngram_lm, sharding, simhash, suffix_dedup
+from clickloom.llm import (
+    bpe, decontamination, embedding_dedup, ngram_lm, quality, sharding, simhash, suffix_dedup, token_files, url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,3 +73,37 @@ def op7_stratified_interleaving(spark, sf_dir):
 def op10_stupid_backoff(spark, sf_dir):
     scored = ngram_lm.score(table(spark, sf_dir, "documents"))
     return scored.select("doc_id", "n_words", (F.round("log_score", 4) + 0.0).alias("log_score"))
+
+
+@query
+def op4_attention_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(~quality.held_out()))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op5_arrow_token_files(spark, sf_dir):
+    index = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.checksums(token_files.starts(index)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+#: Rules of the URL filter.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query
+def op2_boosted_url_filter(spark, sf_dir):
+    """The URLs that a rule judges are the labelled ones; the trees learn from them and judge the rest."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rule = url_filter.rule_of(*url_filter.host_and_path(), URL_RULES)
+    verdict = F.element_at(F.create_map(*[F.lit(x) for pair in URL_RULES.items() for x in pair]), rule)
+    labelled = pages.select("url", F.when(verdict == "block", 1).when(verdict == "allow", 0).alias("label"))
+    return url_filter.judge(pages, URL_RULES, url_filter.fit(labelled))
+
+
+@query
+def op6_lattice_near_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
