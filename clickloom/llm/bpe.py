@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from clickloom.llm import blocks, hashing
 
 #: Words and pre-tokens whose ids a worker remembers before it starts over.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -87,10 +87,12 @@ class Codec:
         self.lengths = np.fromiter(map(len, vocabulary), np.int64, len(vocabulary))
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.joined = np.frombuffer(b"".join(vocabulary), np.uint8)
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...] | None] = {}
+        # Ids are remembered as the bytes of 32-bit integers, so those of a text are a join away.
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes | None] = {}
+        self.single = [np.int32(i).tobytes() for i in range(len(vocabulary))]
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
+    def merge(self, piece: bytes) -> bytes:
         """Ids of a pre-token: pairs of neighbours are merged by rank, then from the left."""
         n = len(piece)
         rank = self.ranks.get
@@ -108,35 +110,32 @@ class Codec:
                 heapq.heappush(heap, (r, start, after[stop]))
             if (left := before[start]) >= 0 and (r := rank(piece[left:stop])) is not None:
                 heapq.heappush(heap, (r, left, stop))
-        ids, at = [], 0
+        parts, at = [], 0
         while at < n:
-            ids.append(self.ranks[piece[at:after[at]]])
+            parts.append(self.single[self.ranks[piece[at:after[at]]]])
             at = after[at]
-        return tuple(ids)
+        return b"".join(parts)
 
     def resolve(self, pieces: list[str]) -> None:
         """Remember the ids of these pre-tokens."""
-        if len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
         tokens = [p.encode() for p in pieces]
         slots = self.whole.slots(np.fromiter(map(_key, tokens), np.uint64, len(tokens)))
         ids = np.where(slots >= 0, self.id_of_slot[slots], 0).tolist()
-        known = self.vocabulary
+        known, single = self.vocabulary, self.single
         for piece, token, found, slot in zip(pieces, tokens, ids, slots.tolist()):
-            self.pieces[piece] = (found,) if slot >= 0 and known[found] == token else self.merge(token)
+            self.pieces[piece] = single[found] if slot >= 0 and known[found] == token else self.merge(token)
 
-    def plain(self, texts: list[str]) -> list[list[int]]:
+    def plain(self, texts: list[str]) -> list[bytes]:
         """Ids of texts, each cut by the pattern as a whole."""
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
         cut = list(map(self.split, texts))
-        fresh = list(set(chain.from_iterable(cut)).difference(self.pieces))
-        kept = self.pieces
-        self.resolve(fresh)
-        if any(p not in kept for c in cut for p in c):  # started over: look all up again
-            self.resolve(list(set(chain.from_iterable(cut))))
-        return [list(chain.from_iterable(map(kept.__getitem__, c))) for c in cut]
+        self.resolve(list(set(chain.from_iterable(cut)).difference(self.pieces)))
+        ids = self.pieces.__getitem__
+        return [b"".join(map(ids, c)) for c in cut]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of texts.
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts, as 32-bit integers.
 
         The pattern never matches across a single space between other characters than white space, except that it
         takes the space along. So words between such spaces are cut and remembered one by one; a text with any
@@ -148,15 +147,14 @@ class Codec:
         fresh = list(set(chain.from_iterable(w[1:] for w in words)).difference(self.words))
         regular = [w for w in fresh if w and not w[0].isspace() and not w[-1].isspace()]
         self.words.update(dict.fromkeys(fresh))
-        self.words.update(zip(regular, map(tuple, self.plain([" " + w for w in regular]))))
-        ends = self.plain([w[0] for w in words])
-        found = []
-        for text, parts, ids in zip(texts, words, ends):
+        self.words.update(zip(regular, self.plain([" " + w for w in regular])))
+        heads = self.plain([w[0] for w in words])
+        ids, found = self.words.__getitem__, []
+        for text, parts, head in zip(texts, words, heads):
             try:
                 if parts[0][-1:].isspace():
                     raise TypeError
-                ids.extend(chain.from_iterable(map(self.words.__getitem__, parts[1:])))
-                found.append(ids)
+                found.append(head + b"".join(map(ids, parts[1:])))
             except TypeError:  # an irregular word has no ids of its own
                 found.append(self.plain([text])[0])
         return found
@@ -189,8 +187,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
             _, offsets = blocks.text_bytes(texts)
             for low, high in blocks.blocks(offsets):
                 ids = own.encode([t or "" for t in texts.slice(low, high - low).to_pylist()])
-                lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-                values = np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))
+                lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                values = np.frombuffer(b"".join(ids), np.int32)
                 yield pa.record_batch([batch.column(0).slice(low, high - low), blocks.lists(pa.array(values), lengths)], ["doc_id", "ids"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
