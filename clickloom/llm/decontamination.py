@@ -4,7 +4,7 @@ The index is split by documents: each row of its table is a segment with the sor
 term, the ascending list of places. A phrase is searched in every segment on its own: the places of its rarest term,
 less that term's offset, are candidate starts; the lists of its other terms, from the next rarest on and adjusted in
 the same way, are intersected with them. With a ``slop`` above zero each word may stand that many places from
-where the phrase has it (a proximity match).
+where the phrase has it, counted from the rarest word (a proximity match).
 """
 
 import numpy as np

@@ -193,6 +193,21 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
 
 
+def keep(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose text scores ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        own = shared.value
+        for batch in batches:
+            data, offsets = blocks.text_bytes(batch.column(text))
+            for low, high in blocks.blocks(offsets):
+                found, count = passages(data[offsets[low]:offsets[high]], offsets[low:high + 1])
+                yield batch.slice(low, high - low).filter(pa.array(own.scores(found, count) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows kept from learning."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1

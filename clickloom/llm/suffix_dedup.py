@@ -21,8 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.llm import blocks, hashing, suffix_array, workspace
 
@@ -47,14 +48,37 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     if width < 2 * ANCHOR:
         raise ValueError(f"width must be {2 * ANCHOR} or more")
-    rows = docs.select(
+    rows = _keyed(docs, doc_id, text)
+    return _cut(rows, _repeats(rows, width, max_contexts), whole_characters=False)
+
+
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
+                    max_contexts: int = MAX_CONTEXTS) -> DataFrame:
+    """``docs`` with the repeated strings cut out of ``text``, and with them all characters that they cut into.
+
+    Rows and other columns stay as they are. A null text becomes empty, as does one that is all repeats.
+    """
+    others = [c for c in docs.columns if c != text]
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
+    rows = _keyed(docs, doc_id, text, rest)
+    cut = _cut(rows, _repeats(rows, width, max_contexts), whole_characters=True)
+    back = {c: F.col(f"rest.c{i}").alias(c) for i, c in enumerate(others)}
+    return cut.select(*[back.get(c, F.col("kept").cast("string").alias(text)) for c in docs.columns])
+
+
+def _keyed(docs: DataFrame, doc_id: str, text: str, *rest: Column) -> DataFrame:
+    """Documents as bytes; an id with the hash of the text tells rows apart that share an id."""
+    return docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("bytes"),
+        *[r.alias("rest") for r in rest],
     ).withColumn("text_hash", F.xxhash64("bytes"))
-    with workspace.shuffles_removed(docs.sparkSession):
-        hits = _hits(rows, width)
-        covered = _covered(_contexts(hits), width, max_contexts)
-        spans = _spans(hits, covered)
-    return _cut(rows, spans)
+
+
+def _repeats(rows: DataFrame, width: int, max_contexts: int) -> DataFrame:
+    """Removed ranges of the documents that have any."""
+    found = rows.select("doc_id", "bytes", "text_hash")
+    hits = _hits(found, width)
+    return _spans(hits, _covered(_contexts(hits), width, max_contexts))
 
 
 def _key(left: DataFrame, right: DataFrame):
@@ -310,7 +334,9 @@ def _spans(hits: DataFrame, covered: DataFrame) -> DataFrame:
     )
 
 
-def _cut(rows: DataFrame, spans: DataFrame) -> DataFrame:
+def _cut(rows: DataFrame, spans: DataFrame, whole_characters: bool) -> DataFrame:
+    rest = [c for c in rows.columns if c == "rest"]
+
     def cut(batches):
         for batch in batches:
             data, offsets = blocks.text_bytes(batch.column("bytes"))
@@ -334,7 +360,11 @@ def _cut(rows: DataFrame, spans: DataFrame) -> DataFrame:
             np.add.at(gone, start, 1)
             np.add.at(gone, end, -1)
             keep = np.cumsum(gone[:-1], dtype=np.int8)[offsets[0]:] == 0
-            kept = data[offsets[0]:offsets[-1]][keep]
+            here = data[offsets[0]:offsets[-1]]
+            if whole_characters and len(here):
+                character = np.cumsum((here & 0xC0) != 0x80)
+                keep &= (np.bincount(character, ~keep) == 0)[character]
+            kept = here[keep]
             ends = np.concatenate([[0], np.cumsum(keep)])[offsets - offsets[0]].astype(np.int32)
             spans_of = np.bincount(row, minlength=len(batch))
             pair = pa.StructArray.from_arrays(
@@ -344,8 +374,10 @@ def _cut(rows: DataFrame, spans: DataFrame) -> DataFrame:
             yield pa.record_batch([
                 batch.column("doc_id"), pa.array(np.diff(offsets)), blocks.lists(pair, spans_of),
                 pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(ends), pa.py_buffer(kept)]),
-            ], ["doc_id", "n_bytes", "spans", "kept"])
+                *[batch.column(c) for c in rest],
+            ], ["doc_id", "n_bytes", "spans", "kept", *rest])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    joined = rows.join(spans.hint("shuffle_hash"), _key(rows, spans), "left").select(rows.doc_id, "bytes", "ranges")
-    return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
+    joined = rows.join(spans.hint("shuffle_hash"), _key(rows, spans), "left").select(rows.doc_id, "bytes", "ranges", *rest)
+    schema = T.StructType([rows.schema["doc_id"]]).add("n_bytes", "long").add(
+        "spans", "array<struct<start:int,end:int>>").add("kept", "binary")
+    return joined.mapInArrow(cut, T.StructType(schema.fields + [rows.schema[c] for c in rest]))
