@@ -127,6 +127,11 @@ def variant_keys(values: np.ndarray, segments: int) -> np.ndarray:
     return keys
 
 
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits; of unsigned values, as numpy counts those of the magnitude."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def forest(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning forest of the links between these fingerprints: each is linked to the one that found it first."""
     left, queue = np.arange(len(values)), []
@@ -136,7 +141,7 @@ def forest(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
             queue.append(int(left[0]))
             left = left[1:]
         at = queue.pop()
-        near = np.bitwise_count(values[left] ^ values[at]) <= max_bits
+        near = _distance(values[left], values[at]) <= max_bits
         found = left[near]
         if len(found):
             from_.append(np.full(len(found), at))
@@ -214,7 +219,7 @@ def _close_pairs(begin: np.ndarray, size: np.ndarray, value: np.ndarray, max_bit
     while len(at):
         on = at + step < last
         at, last = at[on], last[on]
-        near = np.bitwise_count(value[at] ^ value[at + step]) <= max_bits
+        near = _distance(value[at], value[at + step]) <= max_bits
         a.append(value[at[near]])
         b.append(value[at[near] + step])
         step += 1
