@@ -378,6 +378,8 @@ def _cut(rows: DataFrame, spans: DataFrame, whole_characters: bool) -> DataFrame
             ], ["doc_id", "n_bytes", "spans", "kept", *rest])
 
     joined = rows.join(spans.hint("shuffle_hash"), _key(rows, spans), "left").select(rows.doc_id, "bytes", "ranges", *rest)
-    schema = T.StructType([rows.schema["doc_id"]]).add("n_bytes", "long").add(
-        "spans", "array<struct<start:int,end:int>>").add("kept", "binary")
-    return joined.mapInArrow(cut, T.StructType(schema.fields + [rows.schema[c] for c in rest]))
+    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+    return joined.mapInArrow(cut, T.StructType([
+        rows.schema["doc_id"], T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(span)),
+        T.StructField("kept", T.BinaryType()), *[rows.schema[c] for c in rest],
+    ]))
