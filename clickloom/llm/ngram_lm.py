@@ -115,7 +115,7 @@ def _lists(dealt: DataFrame, parts: int, counts: bool, offset: int) -> DataFrame
         return pa.table({
             "part": pa.array([i for i, _, _ in rows], pa.int32()),
             "block": pa.array([block if asks else -2 - block] * len(rows), pa.int64()),
-            "asks": pa.array([asks] * len(rows)), "counts": pa.array([counts] * len(rows)),
+            "asks": pa.array([asks] * len(rows), pa.bool_()), "counts": pa.array([counts] * len(rows), pa.bool_()),
             "grams": pa.array([grams[a:b].tobytes() for _, a, b in rows], pa.binary()),
             "times": pa.array([times[a:b].astype(np.uint32).tobytes() for _, a, b in rows], pa.binary()),
             "words": pa.array([words if n == 0 and counts else 0 for n in range(len(rows))], pa.int64()),
