@@ -13,10 +13,11 @@ def checked(rows, shards):
     assert max(counts.values()) - min(counts[s] for s in range(shards)) <= 1
     for s in range(shards):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(counts[s]))
-    for source in {r.source for r in rows}:
+    sources = {r.source for r in rows}
+    for source in sources:
         here = Counter(r.shard for r in rows if r.source == source)
         share = sum(here.values()) / shards
-        assert all(share - 2 <= here[s] <= share + 2 for s in range(shards)), source
+        assert all(abs(share - here[s]) <= 1 + len(sources) / 2 for s in range(shards)), source
 
 
 @pytest.mark.parametrize("bucket_rows", [20_000, 7])
