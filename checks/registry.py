@@ -129,6 +129,22 @@ def parse_repair(spark, sf_dir):
     return typed.select("event_id", outcome.alias("outcome"), "user_id", "action")
 
 
+@query
+def framed_records(spark, sf_dir):
+    """A good search record behind text, behind records that are rejected, and before another good one."""
+    rows = event_table.clickstream(spark, sf_dir)
+    base = '{"user_id":"%U","session_id":"s","timestamp":"2024-01-01T00:00:00","action":"%A","is_bot_flag":%F}'
+    good = F.replace(F.lit(base.replace("%A", "search").replace("%F", "false")), F.lit("%U"), F.col("user_id"))
+    bot = F.lit(base.replace("%U", "u_bot").replace("%A", "search").replace("%F", "true"))
+    invalid = F.lit(base.replace("%U", "u_bad").replace("%A", "dance").replace("%F", "false"))
+    variants = [
+        F.concat(F.lit("2024-01-01 INFO "), good), F.concat(F.lit("\ufeff"), good), F.concat(bot, good), F.concat(invalid, F.lit(" "), good),
+        F.concat(good, bot), F.concat(F.lit("{} } "), good), F.concat(bot, invalid),
+    ]
+    line = F.get(F.array(*variants), (F.col("event_id") % len(variants)).cast("int"))
+    return raw_log.type_events(rows.select("event_id", line.alias("line"))).select("event_id", "user_id", "status")
+
+
 # Field variants: id part, action and payload part, client part, flag part of a record.
 _IDS = '"user_id":"%U","session_id":"%S","timestamp":"%T"'
 _SEARCH = '"action":"search","payload":{"query":"spark"}'

@@ -1,4 +1,4 @@
-"""Parsing of one JSON object per line, with the repair of cut-off lines."""
+"""Parsing of JSON objects on a line, with the repair of cut-off lines."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,16 +17,77 @@ def repaired(line: Column) -> Column:
 
 
 def parse_object(line: Column) -> Column:
-    """VARIANT of the object on the line, or null when there is none. The repair runs only after a failed parse."""
+    """VARIANT of the object that the line is, or null. The repair runs only after a failed parse."""
     text = stripped(line)
     parsed = F.coalesce(F.try_parse_json(text), F.try_parse_json(repaired(line)))
     # A line that parses and starts with a brace holds an object, not a number or a list.
     return F.when(text.startswith("{"), parsed)
 
 
-def field_type(document: str, name: str) -> Column:
-    """Type of a top-level field of a VARIANT column as text; null when the field is missing."""
-    return F.expr(f"schema_of_variant(try_variant_get({document}, '$.{name}', 'variant'))")
+def is_framed(line: Column, parsed: Column) -> Column:
+    """Whether a line may hold an object besides the one it starts with, or one after something else.
+
+    A closing brace that is followed by anything but a comma and a name, or another closing bracket, may end an object.
+    The test may hit the text of a good line, which then costs a scan and gives the same object.
+    """
+    text = stripped(line)
+    return text.contains("{") & (parsed.isNull() | ~text.startswith("{") | text.rlike(r"\}\s*(,\s*)*[^\s,}\]\"]"))
+
+
+def framed_objects(line: Column) -> Column:
+    """VARIANTs of all objects on a line, whatever stands before, between and after them.
+
+    Text is cut where the braces balance, once with regard to quotes and once without, as a stray quote or brace
+    defeats one of the two. What is left at the end goes through the repair. The scan is a fold over the text's braces and
+    quotes and meant for the few lines that need it.
+    """
+    text = stripped(line)
+    pieces = F.concat(_balanced(text, quotes=True), _balanced(text, quotes=False))
+    # A brace alone at the end would be repaired to an empty object.
+    return F.filter(F.transform(F.filter(pieces, lambda p: p != "{"), parse_object), lambda v: v.isNotNull())
+
+
+# Braces, quotes, escaped quotes, and what lies between them.
+_TOKENS = r'(?s)[^{}"\\]+|\\["\\]|.'
+
+
+def _balanced(text: Column, quotes: bool) -> Column:
+    """Pieces of a text that end where as many braces are closed as opened, and the rest if a brace is open.
+
+    With regard to quotes, what stands before an object is dropped and a closing brace before it means nothing.
+    """
+    state = "struct<depth:int,quoted:boolean,start:int,at:int,found:array<string>>"
+    first = F.struct(
+        F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit(1).alias("start"), F.lit(1).alias("at"),
+        F.array().cast("array<string>").alias("found"),
+    ).cast(state)
+
+    def step(s: Column, token: Column) -> Column:
+        turn = F.when(token == "{", 1).when(token == "}", -1).otherwise(0)
+        depth = s["depth"] + turn
+        if quotes:
+            depth = F.when(s["quoted"], s["depth"]).otherwise(F.greatest(depth, F.lit(0)))
+            start = F.when((s["depth"] == 0) & (depth == 1), s["at"]).otherwise(s["start"])
+            closes = (depth == 0) & (s["depth"] > 0)
+            quoted = F.when((s["depth"] > 0) & (token == '"'), ~s["quoted"]).otherwise(s["quoted"])
+        else:
+            start, closes, quoted = s["start"], (depth == 0) & (turn != 0), F.lit(False)
+        after = s["at"] + F.length(token)
+        piece = F.substring(text, start, after - start)
+        return F.struct(
+            depth.alias("depth"), quoted.alias("quoted"), F.when(closes, after).otherwise(start).alias("start"), after.alias("at"),
+            F.when(closes, F.concat(s["found"], F.array(piece))).otherwise(s["found"]).alias("found"),
+        ).cast(state)
+
+    def finish(s: Column) -> Column:
+        return F.when(s["depth"] != 0, F.concat(s["found"], F.array(F.substring(text, s["start"], F.length(text))))).otherwise(s["found"])
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0)), first, step, finish)
+
+
+def type_of(document: Column, name: str) -> Column:
+    """Type of a top-level field of a VARIANT as text; null when the field is missing."""
+    return F.schema_of_variant(F.try_variant_get(document, f"$.{name}", "variant"))
 
 
 def truthy(text: Column, kind: Column) -> Column:

@@ -20,13 +20,19 @@ def disposition(
     ids_are_text: Column,
     min_dwell_ms: int = C.MIN_DWELL_MS,
     bot_pattern: str | None = None,
+    record: Column | None = None,
+    flag: Column | None = None,
 ) -> Column:
-    """First of corrupt, invalid, bot, emitted that applies to a typed record."""
-    action = F.col("action")
+    """First of corrupt, invalid, bot, emitted that applies to a typed record.
+
+    The record is a row's columns or, if given, a struct with its bot flag as truth value.
+    """
+    field = F.col if record is None else record.getField
+    action = field("action")
     valid = ids_are_text & action.isin(C.ACTIONS) & ~rules.too_short(
-        action, F.col("payload.dwell_time_ms"), min_dwell_ms
+        action, field("payload")["dwell_time_ms"], min_dwell_ms
     )
-    bot = rules.is_bot(F.col("is_bot_flag"), F.col("client.user_agent"), bot_pattern)
+    bot = rules.is_bot(F.col("is_bot_flag") if flag is None else flag, field("client")["user_agent"], bot_pattern)
     return (
         F.when(corrupt, "corrupt")
         .when(~F.coalesce(valid, F.lit(False)), "invalid")

@@ -5,6 +5,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom import schemas
 from clickloom.operators import cleaning, counts, features, sessions
 from clickloom.sources import counts_tsv, raw_log, storage
 
@@ -18,7 +19,7 @@ def count_actions(spark: SparkSession, log_path: str, counts_path: str, run_id:
     """Clean a log and write its action counts as one run. Returns run id, counters and rows written."""
     run_id = run_id or new_run_id()
     read, written = Observation("read"), Observation("written")
-    events = raw_log.read_events(spark, log_path, **cleaning_options)
+    events = raw_log.read_events(spark, log_path, record=schemas.COUNT_RECORD, **cleaning_options)
     observed = events.observe(read, *cleaning.counter_columns())
     result = counts.action_counts(observed).observe(written, F.count(F.lit(1)).alias("rows_written"))
     counts_tsv.write_counts(result, counts_path, run_id)
@@ -52,7 +53,7 @@ def build_features(
     """
     storage.create_database(spark, database, location)
     read = Observation("read")
-    parsed = raw_log.read_events(spark, log_path, **cleaning_options).observe(read, *cleaning.counter_columns())
+    parsed = raw_log.read_events(spark, log_path, record=schemas.FEATURE_RECORD, **cleaning_options).observe(read, *cleaning.counter_columns())
     storage.save_table(_needed(parsed), f"{database}.events_typed")
 
     events = spark.table(f"{database}.events_typed")

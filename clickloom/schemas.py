@@ -34,6 +34,21 @@ RECORD = T.StructType([
     T.StructField("event_order", T.LongType()),
 ])
 
+def _some(record: T.StructType, **nested: list[str]) -> T.StructType:
+    """The named fields of the nested records and nothing else of them."""
+    kept = [T.StructField(f.name, T.StructType([f.dataType[n] for n in nested[f.name]])) if f.name in nested else f for f in record]
+    return T.StructType(kept)
+
+
+# What the disposition of a record looks at, what the counting job reads, and what the feature job reads.
+JUDGED_RECORD = _some(
+    T.StructType([RECORD[n] for n in ("action", "payload", "client", "is_bot_flag")]), payload=["dwell_time_ms"], client=["user_agent"],
+)
+COUNT_RECORD = T.StructType([RECORD["user_id"], *JUDGED_RECORD])
+FEATURE_RECORD = _some(
+    T.StructType([f for f in RECORD if f.name != "schema_version"]), payload=["query", "dwell_time_ms"], client=["user_agent", "country"],
+)
+
 # Columns of the typed event table.
 EVENT_COLUMNS = [
     "timestamp", "ts", "user_id", "session_id", "action", "payload", "client",

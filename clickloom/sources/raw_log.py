@@ -2,15 +2,13 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom import constants as C
 from clickloom import schemas
 from clickloom.functions import json_text
 from clickloom.operators.cleaning import disposition
 
-_RECORD_DDL = schemas.RECORD.simpleString()
-
-
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines of all files below a directory.
 
@@ -19,47 +17,73 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").text(path).withColumnRenamed("value", "line")
 
 
-def _is_text(name: str) -> Column:
-    return F.coalesce(json_text.field_type("document", name) == "STRING", F.lit(False))
+def _is_text(document: Column, name: str) -> Column:
+    return F.coalesce(json_text.type_of(document, name) == "STRING", F.lit(False))
+
+
+def _ids_are_text(document: Column) -> Column:
+    return _is_text(document, "user_id") & _is_text(document, "session_id") & _is_text(document, "timestamp")
+
+
+def _has_only_raw(document: Column) -> Column:
+    raw, user = (F.try_variant_get(document, f"$.{n}", "variant") for n in ("raw", "user_id"))
+    return raw.isNotNull() & user.isNull()
+
+
+def _flag_type(document: Column) -> Column:
+    return F.coalesce(json_text.type_of(document, "is_bot_flag"), F.lit("VOID"))
+
+
+def _first_emitted(line: Column, min_dwell_ms: int, bot_pattern: str | None) -> Column:
+    """Of the objects on a line the first that is emitted, else the first."""
+    def emitted(document: Column) -> Column:
+        record = F.try_variant_get(document, "$", schemas.JUDGED_RECORD.simpleString())
+        flag = json_text.truthy(record["is_bot_flag"], _flag_type(document))
+        return disposition(_has_only_raw(document), _ids_are_text(document), min_dwell_ms, bot_pattern, record, flag) == "emitted"
+
+    found = json_text.framed_objects(line)
+    return F.coalesce(F.get(F.filter(found, emitted), F.lit(0)), F.get(found, F.lit(0)))
 
 
 def type_events(
     lines: DataFrame,
     min_dwell_ms: int = C.MIN_DWELL_MS,
     bot_pattern: str | None = None,
+    record: T.StructType = schemas.RECORD,
 ) -> DataFrame:
     """Typed event columns and status for each line of column ``line``; other columns are kept.
 
-    The line is parsed once. The typed record accepts any JSON type for text fields, so the type tests
-    on the ids and the timestamp look at the document itself.
+    A good line is parsed once. A line with text around its object, or with several objects, is cut into its
+    objects, and the first one that is emitted counts. The typed record accepts any JSON type for text fields, so
+    the type tests on the ids and the timestamp look at the document itself. ``record`` names the fields to read;
+    what it leaves out is not extracted.
     """
     kept = [c for c in lines.columns if c != "line"]
-    parsed = lines.withColumn("document", json_text.parse_object(F.col("line")))
-    record = F.expr(f"try_variant_get(document, '$', '{_RECORD_DDL}')")
-    has_only_raw = F.expr(
-        "try_variant_get(document, '$.raw', 'variant') is not null"
-        " and try_variant_get(document, '$.user_id', 'variant') is null"
-    )
-    text_ids = _is_text("user_id") & _is_text("session_id") & _is_text("timestamp")
+    once = lines.withColumn("parsed", json_text.parse_object(F.col("line")))
+    document = F.when(
+        json_text.is_framed(F.col("line"), F.col("parsed")), _first_emitted(F.col("line"), min_dwell_ms, bot_pattern),
+    ).otherwise(F.col("parsed"))
+    found = F.col("document")
     # The record is unfolded by a generator, and a filter on its fields or on the status stays above that.
     # Pushed below, the filter would extract the record once more for every field it looks at.
-    flat = parsed.select(
+    flat = once.withColumn("document", document).select(
         *kept,
-        F.coalesce(json_text.field_type("document", "is_bot_flag"), F.lit("VOID")).alias("flag_type"),
-        text_ids.alias("ids_are_text"),
-        (F.col("document").isNull() | has_only_raw).alias("corrupt"),
+        _flag_type(found).alias("flag_type"),
+        _ids_are_text(found).alias("ids_are_text"),
+        (found.isNull() | _has_only_raw(found)).alias("corrupt"),
         (json_text.stripped(F.col("line")) == "").alias("blank"),
         F.xxhash64("line").alias("line_hash"),
-        F.inline(F.array(record)),
-    ).withColumns({
-        "ts": F.try_to_timestamp(F.col("timestamp")),
-        "is_bot_flag": json_text.truthy(F.col("is_bot_flag"), F.col("flag_type")),
-        "event_order": F.coalesce("event_order", "line_hash"),
-    })
+        F.inline(F.array(F.try_variant_get(found, "$", record.simpleString()))),
+    ).withColumn("is_bot_flag", json_text.truthy(F.col("is_bot_flag"), F.col("flag_type")))
+    if "timestamp" in record.names:
+        flat = flat.withColumn("ts", F.try_to_timestamp(F.col("timestamp")))
+    if "event_order" in record.names:
+        flat = flat.withColumn("event_order", F.coalesce("event_order", "line_hash"))
     status = F.when(F.col("blank"), "blank").otherwise(
         disposition(F.col("corrupt"), F.col("ids_are_text"), min_dwell_ms, bot_pattern)
     )
-    return flat.select(*kept, *schemas.EVENT_COLUMNS[:-1], status.alias("status"))
+    columns = [c for c in schemas.EVENT_COLUMNS[:-1] if c in flat.columns]
+    return flat.select(*kept, *columns, status.alias("status"))
 
 
 def read_events(spark: SparkSession, path: str | list[str], **options) -> DataFrame:

@@ -41,6 +41,30 @@ def test_repeated_field_keeps_the_last_value(typed):
     assert row.user_id == "u_1"
 
 
+BOT = json.dumps(record(user_id="u_bot", is_bot_flag=True))
+INVALID = json.dumps(record(user_id="u_bad", action="dance"))
+
+
+@pytest.mark.parametrize("line, user", [
+    ("abc " + GOOD, "u_1"),
+    ("2024-03-01 INFO {} " + GOOD, "u_1"),
+    ("}{" + GOOD, "u_1"),
+    ("\ufeff" + GOOD, "u_1"),
+    (BOT + GOOD, "u_1"),
+    (INVALID + ", " + GOOD + " x", "u_1"),
+    ('{bad "x} ' + GOOD, "u_1"),
+    ('{"raw": "}{"}' + GOOD, "u_1"),
+    ("x " + json.dumps(record(payload={"query": 'a } " { \\\\'})) + "!", "u_1"),
+    ("x" + GOOD[:-1], "u_1"),
+    (BOT + INVALID, None),
+    ("abc", None),
+    ("{}} {", None),
+])
+def test_objects_among_other_text(typed, line, user):
+    row = typed(line).first()
+    assert (row.user_id if row.status == "emitted" else None) == user
+
+
 def test_second_object_on_a_line_is_dropped(typed):
     rows = typed(GOOD + json.dumps(record(user_id="u_2"))).collect()
     assert [r.user_id for r in rows] == ["u_1"]
