@@ -223,6 +223,10 @@ ORACLES = {
     "action_counts": _with("counted", "SELECT user_id, action, cnt FROM counted"),
     "tsv_scan": _with("counted", "SELECT user_id, action, cnt FROM counted"),
     "latest_run": _with("counted", "SELECT user_id, action, cnt FROM counted"),
+    "tsv_hostile_ids": _with("counted", """
+        SELECT user_id || ['', chr(9), chr(10), chr(13) || chr(10), '"q', chr(92), chr(92) || 't', chr(92) || chr(92) || 'n', ' x ']
+            [CAST(CAST(substr(user_id, 3) AS BIGINT) % 9 + 1 AS INT)] AS user_id, action, cnt
+        FROM counted"""),
     "tsv_validate": """
         SELECT CASE WHEN event_id % 8 IN (3, 4) THEN 'malformed_input' WHEN event_id % 8 = 5 THEN 'bad_count'
             WHEN event_id % 8 = 7 THEN 'blank' ELSE 'ok' END AS reason, count(*) AS n
@@ -252,6 +256,7 @@ ORACLES = {
         SELECT user_id, session_id, n_deep_clicks FROM sessions WHERE n_deep_clicks > 0"""),
     "feature_table": _with("featured", f"SELECT {FEATURE_SELECT}, dt FROM featured"),
     "feature_table_joined": _with("featured", f"SELECT {FEATURE_SELECT}, dt FROM featured"),
+    "features_from_counts": _with("featured", f"SELECT {FEATURE_SELECT}, dt FROM featured"),
     "feature_export": _with("featured", f"SELECT {FEATURE_SELECT}, dt FROM featured"),
     "ratio_features": _with("featured", f"""
         SELECT user_id, {_rounded("professional_ratio", "click_through_rate")} FROM featured"""),
@@ -313,6 +318,10 @@ ORACLES = {
         SELECT user_id, label, CASE label WHEN 0 THEN 'low-value' WHEN 1 THEN 'high-value' ELSE 'unknown' END AS label_name,
             cluster, archetype, round(round(professional_ratio, 4), 6) AS professional_ratio, total_actions
         FROM assigned"""),
+    "profile_of_one": _with("assigned", """
+        SELECT user_id, label, CASE label WHEN 0 THEN 'low-value' WHEN 1 THEN 'high-value' ELSE 'unknown' END AS label_name,
+            cluster, archetype, round(round(professional_ratio, 4), 6) AS professional_ratio, total_actions
+        FROM assigned WHERE user_id = 'u_10'"""),
     "pipeline_telemetry": _with("featured", """
         SELECT (SELECT count(*) FROM judged) AS raw_records, (SELECT count(*) FROM clean) AS cleaned_records,
             (SELECT count(*) FROM counted) AS count_rows, (SELECT count(*) FROM sessions) AS sessions,

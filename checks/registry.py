@@ -21,6 +21,9 @@ from clickloom.sources import counts_tsv, event_table, raw_log, storage
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Ends of ids that a text format must not lose.
+HOSTILE = ["", "\t", "\n", "\r\n", "\"q", "\\", "\\t", "\\\\n", " x "]
+
 
 def query(build: Query) -> Query:
     """Register under the function's name."""
@@ -248,6 +251,37 @@ def latest_run(spark, sf_dir):
     return counts_tsv.read_latest_run(spark, path)
 
 
+@query
+def tsv_hostile_ids(spark, sf_dir):
+    """Counts of users whose ids hold what ends a field, a line or an escape, through the files."""
+    path = storage.scratch_dir(spark, "hostile")
+    found = counts.action_counts(events(spark, sf_dir))
+    odd = F.array(*[F.lit(x) for x in HOSTILE])
+    number = (F.substring("user_id", 3, 20).cast("long") % len(HOSTILE)).cast("int")
+    counts_tsv.write_counts(found.withColumn("user_id", F.concat("user_id", F.get(odd, number))), path, "1")
+    return counts_tsv.read_latest_run(spark, path)
+
+
+@query
+def features_from_counts(spark, sf_dir):
+    """Feature table from a stored count run and the session table."""
+    path = storage.scratch_dir(spark, "count_runs")
+    rows = events(spark, sf_dir)
+    counts_tsv.write_counts(counts.action_counts(rows), path, "20240201_000000")
+    pivot = counts.pivot_counts(counts_tsv.read_latest_run(spark, path))
+    table = storage.stage(features.session_table(rows), "session_table")
+    return features.join_features(pivot, features.features_of_sessions(table))
+
+
+@query
+def profile_of_one(spark, sf_dir):
+    """Profile of user 10, looked up in the stored assignments."""
+    assigned = rule_assignments(feature_rows(spark, sf_dir))
+    path = storage.scratch_dir(spark, "assignments")
+    storage.export_parquet(assigned.repartitionByRange("user_id").sortWithinPartitions("user_id"), path)
+    return lookups.user_profile(storage.read_assignments(spark, path), "u_10")
+
+
 @query
 def user_action_pivot(spark, sf_dir):
     return counts.user_action_pivot(events(spark, sf_dir))
@@ -263,12 +297,12 @@ def pivot_of_counts(spark, sf_dir):
 
 @query
 def session_features(spark, sf_dir):
-    return sessions.session_features(events(spark, sf_dir))
+    return sessions.session_features(events(spark, sf_dir)).drop("first_ts")
 
 
 @query
 def clean_session_features(spark, sf_dir):
-    return sessions.session_features(events(spark, sf_dir), source="clean")
+    return sessions.session_features(events(spark, sf_dir), source="clean").drop("first_ts")
 
 
 @query
@@ -391,16 +425,16 @@ def nb_predictions(spark, sf_dir):
 
 @query
 def svm_predictions(spark, sf_dir):
-    train, test = scaling.split(stored_model_input(spark, sf_dir))
-    fitted = models.fit_linear_svm(scaling.arranged(train))
-    return fitted.transform(test).select("user_id", "label", "svm_pred")
+    rows = stored_model_input(spark, sf_dir)
+    fitted = classification_job.fit_one(rows, models.fit_linear_svm)
+    return fitted.transform(scaling.split(rows)[1]).select("user_id", "label", "svm_pred")
 
 
 @query
 def mlp_predictions(spark, sf_dir):
-    train, test = scaling.split(stored_model_input(spark, sf_dir))
-    fitted = models.fit_perceptron(scaling.arranged(train))
-    return fitted.transform(test).select("user_id", "label", "mlp_pred")
+    rows = stored_model_input(spark, sf_dir)
+    fitted = classification_job.fit_one(rows, models.fit_perceptron)
+    return fitted.transform(scaling.split(rows)[1]).select("user_id", "label", "mlp_pred")
 
 
 @query
@@ -461,7 +495,7 @@ def cluster_metadata(spark, sf_dir):
 @query
 def pca_variance(spark, sf_dir):
     rows = features.model_input(stored_features(spark, sf_dir), labelled=False)
-    return segmentation.explained_variance(segmentation_job.fit_on(rows))
+    return segmentation.explained_variance(segmentation.fit_projection(rows).stages[-1])
 
 
 @query

@@ -1,6 +1,6 @@
 """Action counts per user."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom import constants as C
@@ -36,14 +36,16 @@ def user_action_pivot(events: DataFrame) -> DataFrame:
 def reduce_tuples(tuples: DataFrame) -> DataFrame:
     """Sum (user_id, action, cnt) tuples of any origin and add the total row of each user.
 
-    Actions are open here. Tuples are summed before the grouping sets double the rows.
+    Actions are open here. Tuples are summed first; then a user has one row per action, and these come together for
+    the total, which leaves the result partitioned by user.
     """
     summed = tuples.groupBy("user_id", "action").agg(F.sum("cnt").alias("cnt"))
-    both = summed.groupingSets(
-        [[F.col("user_id"), F.col("action")], [F.col("user_id")]], F.col("user_id"), F.col("action")
-    ).agg(F.sum("cnt").alias("cnt"), F.grouping("action").alias("is_total"))
-    action = F.when(F.col("is_total") == 1, C.TOTAL_ACTION).otherwise(F.col("action"))
-    return both.select("user_id", action.alias("action"), "cnt")
+    by_user = Window.partitionBy("user_id")
+    first = F.row_number().over(by_user.orderBy("action")) == 1
+    own = F.struct("action", "cnt")
+    total = F.when(F.col("first"), F.struct(F.lit(C.TOTAL_ACTION).alias("action"), F.col("total").alias("cnt")))
+    both = summed.withColumns({"first": first, "total": F.sum("cnt").over(by_user)})
+    return both.select("user_id", F.inline(F.filter(F.array(own, total), lambda e: e.isNotNull())))
 
 
 def pivot_counts(counts: DataFrame) -> DataFrame:

@@ -66,6 +66,36 @@ def feature_table(events: DataFrame, source: str = "raw") -> DataFrame:
     return _with_targets(per_user.where(F.col("total_actions") > 0))
 
 
+def session_table(events: DataFrame, source: str = "raw") -> DataFrame:
+    """All that is stored of a session: figures, first time and country, and a counter for each pivot action."""
+    clean = F.col("status") == "emitted"
+    first, last, timed = F.min(S.seconds()), F.max(S.seconds()), F.count(S.seconds())
+    return S.session_events(events, source).groupBy(*S.SESSION).agg(
+        F.min("timestamp").alias("session_start"),
+        F.max("timestamp").alias("session_end"),
+        F.count(F.lit(1)).alias("session_events"),
+        S.mean_gap(first, last, timed).alias("avg_inter_event_sec"),
+        ((last - first).cast("double") / 60).alias("session_duration_min"),
+        S.professional_searches().alias("n_professional_searches"),
+        S.deep_clicks().alias("n_deep_clicks"),
+        S.first_country().alias("country"),
+        F.min("ts").alias("first_ts"),
+        *[F.count_if(clean & (F.col("action") == a)).alias(f"n_{a}") for a in C.PIVOT_ACTIONS],
+        F.count_if(clean).alias("total_actions"),
+    )
+
+
+def pivot_of_sessions(table: DataFrame) -> DataFrame:
+    """User-action pivot from the session table; users without a cleaned event have no row."""
+    names = [*[f"n_{a}" for a in C.PIVOT_ACTIONS], "total_actions"]
+    return table.groupBy("user_id").agg(*[F.sum(n).alias(n) for n in names]).where(F.col("total_actions") > 0)
+
+
+def features_of_sessions(table: DataFrame) -> DataFrame:
+    """Session features from the session table."""
+    return table.drop(*[f"n_{a}" for a in C.PIVOT_ACTIONS], "total_actions")
+
+
 def join_features(pivot: DataFrame, sessions: DataFrame) -> DataFrame:
     """Feature table from a stored pivot and stored session features.
 
@@ -79,7 +109,7 @@ def join_features(pivot: DataFrame, sessions: DataFrame) -> DataFrame:
         F.avg("avg_inter_event_sec").alias("avg_inter_event_sec"),
         F.sum("n_professional_searches").alias("total_professional_searches"),
         F.sum("n_deep_clicks").alias("total_deep_clicks"),
-        F.min(F.try_to_timestamp("session_start")).alias("first_ts"),
+        F.min("first_ts").alias("first_ts"),
     )
     return _with_targets(pivot.join(per_user, "user_id", "inner"))
 

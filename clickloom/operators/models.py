@@ -40,19 +40,19 @@ def fit_naive_bayes(train: DataFrame) -> PipelineModel:
     return PipelineModel([*scaler.stages, naive_bayes().fit(scaler.transform(train))])
 
 
-def _loaded(model: PipelineModel, train: DataFrame) -> PipelineModel:
-    """The model as stored: a freshly fitted one keeps a training summary that refers to the session, and
+def _loaded(model, train: DataFrame):
+    """The stage as stored: a freshly fitted one keeps a training summary that refers to the session, and
     scoring would ship both to every task."""
     path = storage.scratch_dir(train.sparkSession, "model")
     storage.save_model(model, path)
-    return PipelineModel.load(path)
+    return type(model).load(path)
 
 
 def fit_on_standard(train: DataFrame, *estimators) -> list[PipelineModel]:
     """Pipelines of the estimators over one fitted scaler and one copy of the scaled vectors."""
     scaler = scaling.fit_standard(train)
     vectors = storage.cut(scaler.transform(train).select("label", "standard_features"))
-    return [_loaded(PipelineModel([*scaler.stages, e.fit(vectors)]), train) for e in estimators]
+    return [PipelineModel([*scaler.stages, _loaded(e.fit(vectors), train)]) for e in estimators]
 
 
 def fit_linear_svm(train: DataFrame) -> PipelineModel:

@@ -25,6 +25,8 @@ def arranged(rows: DataFrame, users_per_partition: int = 100_000) -> DataFrame:
 
     Users are unique, so hashing on the id spreads them evenly. The number of partitions follows the
     number of users: each iteration of a fit visits every partition, and empty ones only cost time.
+    ``users_per_partition`` sets the parallelism of the fits and drops nothing; the perceptron and the clusters
+    depend on the partitioning, so another value may give another, equally good, model.
     """
     partitions = max(1, math.ceil(rows.count() / users_per_partition))
     return rows.repartition(partitions, "user_id").sortWithinPartitions("user_id")
@@ -45,6 +47,8 @@ def _bounds(rows: DataFrame) -> dict[str, tuple[float, float]]:
     """Smallest and largest value of each feature: one aggregate, one row of 34 numbers."""
     ends = [f(F.col(c).cast("double")).alias(f"{c}_{n}") for c in C.FEATURES for f, n in ((F.min, "lo"), (F.max, "hi"))]
     found = rows.agg(*ends).first()
+    if any(value is None for value in found):
+        raise ValueError("no complete training rows: features cannot be scaled")
     return {c: (found[f"{c}_lo"], found[f"{c}_hi"]) for c in C.FEATURES}
 
 

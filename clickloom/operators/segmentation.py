@@ -61,6 +61,10 @@ def bisecting_k_means(k: int = C.CLUSTERS) -> BisectingKMeans:
     )
 
 
+def _projection() -> PCA:
+    return PCA(k=2, inputCol="standard_features", outputCol="pca_features")
+
+
 def _signs(projection) -> tuple[float, ...]:
     """An axis may come out mirrored; orient it so that its largest loading is positive."""
     loadings = projection.pc.toArray()
@@ -80,12 +84,18 @@ def fit(rows: DataFrame, k: int = C.CLUSTERS) -> Segmentation:
     spread = spread.fit(scaled)
     vectors = storage.cut(spread.transform(scaled).select("standard_features", "spread_features"))
     clusters = bisecting_k_means(k).fit(vectors)
-    projection = PCA(k=2, inputCol="standard_features", outputCol="pca_features").fit(vectors)
+    projection = _projection().fit(vectors)
     return Segmentation(PipelineModel([*scaler.stages, spread, clusters, projection]), _signs(projection))
 
 
-def explained_variance(segmentation: Segmentation) -> DataFrame:
-    shares = segmentation.projection.explainedVariance.toArray()
+def fit_projection(rows: DataFrame) -> PipelineModel:
+    """Scalers and projection alone, without clusters."""
+    scaler = scaling.fit_standard(rows)
+    return PipelineModel([*scaler.stages, _projection().fit(scaler.transform(rows))])
+
+
+def explained_variance(projection) -> DataFrame:
+    shares = projection.explainedVariance.toArray()
     rows = [(i + 1, float(share)) for i, share in enumerate(shares)]
     return _local(rows, "component int, explained_variance double")
 

@@ -9,15 +9,20 @@ from clickloom.operators import evaluation, features, models, scaling
 from clickloom.sources import storage
 
 
-def fit_on(rows: DataFrame) -> models.Ensemble:
-    """Ensemble fitted on the training users; they are held in memory only while the fits run."""
+def fit_one(rows: DataFrame, fit):
+    """One model, fitted on the training users by ``fit``; they are held in memory only while it runs."""
     train = scaling.arranged(scaling.split(rows)[0]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return models.fit_ensemble(train)
+        return fit(train)
     finally:
         train.unpersist()
 
 
+def fit_on(rows: DataFrame) -> models.Ensemble:
+    """Ensemble fitted on the training users."""
+    return fit_one(rows, models.fit_ensemble)
+
+
 def with_curve_areas(metrics: DataFrame, ensemble: models.Ensemble, scored: DataFrame) -> DataFrame:
     """Optional extra column: area under the ROC curve, null for the vote, which has no score."""
     area = F.lit(None).cast("double")
@@ -36,7 +41,9 @@ def classify(spark: SparkSession, table: str, output: str, curve_area: bool = Fa
         storage.save_model(model, f"{output}/models/{column.removesuffix('_pred')}")
 
     test = scaling.split(rows)[1]
-    storage.export_parquet(models.predictions(ensemble, test), f"{output}/predictions")
+    # Ranged by user, so a lookup of one user opens one file.
+    scored = models.predictions(ensemble, test).repartitionByRange("user_id").sortWithinPartitions("user_id")
+    storage.export_parquet(scored, f"{output}/predictions")
     metrics = evaluation.classification_metrics(spark.read.parquet(f"{output}/predictions"))
     if curve_area:
         metrics = with_curve_areas(metrics, ensemble, ensemble.transform(test))

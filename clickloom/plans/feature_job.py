@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas
-from clickloom.operators import cleaning, counts, features, sessions
+from clickloom.operators import cleaning, counts, features
 from clickloom.sources import counts_tsv, raw_log, storage
 
 
@@ -26,16 +26,6 @@ def count_actions(spark: SparkSession, log_path: str, counts_path: str, run_id:
     return {"run_id": run_id, **read.get, **written.get}
 
 
-def _needed(events: DataFrame) -> DataFrame:
-    """What later stages read of an event; the rest of the line is not stored again."""
-    return events.select(
-        "user_id", "session_id", "timestamp", "ts", "action",
-        F.struct("payload.query", "payload.dwell_time_ms").alias("payload"),
-        F.struct("client.country").alias("client"),
-        "event_order", "status",
-    )
-
-
 def build_features(
     spark: SparkSession,
     log_path: str,
@@ -43,22 +33,28 @@ def build_features(
     export_path: str,
     location: str | None = None,
     session_source: str = "raw",
+    counts_path: str | None = None,
     **cleaning_options,
 ) -> dict:
     """Build all feature tables of a database from a log and export the feature table as Parquet.
 
-    The text is parsed once into a columnar event table; the pivot and the session features read a few
-    of its columns each, and the feature table joins these two, each reduced to one row per user.
-    Every table is replaced, so a rerun gives the same tables. Returns the counters of the parse.
+    The text is read once and its events are shuffled once, into a table with one row per session. The pivot and the
+    session features follow from that table, and the feature table joins these two, each reduced to one row per user.
+    With ``counts_path`` the pivot comes from the latest run of the counting job instead. Every table is replaced, so
+    a rerun gives the same tables. Returns the counters of the parse.
     """
     storage.create_database(spark, database, location)
     read = Observation("read")
     parsed = raw_log.read_events(spark, log_path, record=schemas.FEATURE_RECORD, **cleaning_options).observe(read, *cleaning.counter_columns())
-    storage.save_table(_needed(parsed), f"{database}.events_typed")
-
-    events = spark.table(f"{database}.events_typed")
-    storage.save_table(counts.user_action_pivot(events), f"{database}.user_action_pivot")
-    storage.save_table(sessions.session_features(events, session_source), f"{database}.session_features")
+    storage.save_table(features.session_table(parsed, session_source), f"{database}.session_table")
+
+    table = spark.table(f"{database}.session_table")
+    storage.save_table(features.features_of_sessions(table), f"{database}.session_features")
+    if counts_path is None:
+        pivot = features.pivot_of_sessions(table)
+    else:
+        pivot = counts.pivot_counts(counts_tsv.read_latest_run(spark, counts_path))
+    storage.save_table(pivot, f"{database}.user_action_pivot")
 
     joined = features.join_features(
         spark.table(f"{database}.user_action_pivot"), spark.table(f"{database}.session_features")

@@ -18,13 +18,13 @@ def fit_on(rows: DataFrame) -> segmentation.Segmentation:
 def segment(spark: SparkSession, table: str, output: str, training_cost: bool = False) -> DataFrame:
     """Save the model, the assignments and the cluster records below ``output``.
 
-    Assignments are sorted by user within files, so a lookup of one user skips most row groups.
+    Assignments are ranged and sorted by user, so a lookup of one user opens one file.
     """
     rows = features.model_input(spark.table(table), labelled=False)
     fitted = fit_on(rows)
     storage.save_model(fitted.model, f"{output}/models/segments")
     storage.export_parquet(
-        fitted.assignments(rows).sortWithinPartitions("user_id"), f"{output}/cluster_assignments"
+        fitted.assignments(rows).repartitionByRange("user_id").sortWithinPartitions("user_id"), f"{output}/cluster_assignments"
     )
     storage.write_records(segmentation.cluster_metadata(fitted, rows, training_cost), f"{output}/cluster_metadata")
     return spark.read.parquet(f"{output}/cluster_assignments")

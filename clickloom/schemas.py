@@ -69,6 +69,17 @@ METRICS = T.StructType([
     T.StructField("f1", T.DoubleType()),
 ])
 
+ASSIGNMENTS = T.StructType([
+    T.StructField("user_id", T.StringType()),
+    T.StructField("cluster", T.IntegerType()),
+    T.StructField("pca_x", T.DoubleType()),
+    T.StructField("pca_y", T.DoubleType()),
+    T.StructField("label", T.IntegerType()),
+    T.StructField("professional_ratio", T.DoubleType()),
+    T.StructField("total_actions", T.LongType()),
+    T.StructField("total_sessions", T.LongType()),
+])
+
 CLUSTER_METADATA = T.StructType([
     T.StructField("cluster_id", T.IntegerType()),
     T.StructField("archetype", T.StringType()),

@@ -3,20 +3,43 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom import schemas
 from clickloom.sources import storage
 
-# Spaces belong to an id.
-_FORMAT = {"sep": "\t", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# What would end a field or a line, and the backslash itself, with their escapes; fixed values of the format.
+_ESCAPES = [("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
+
+
+def _escaped(text: Column) -> Column:
+    text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for plain, written in _ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def _unescaped(text: Column) -> Column:
+    def part(piece: Column) -> Column:
+        for plain, written in _ESCAPES:
+            piece = F.replace(piece, F.lit(written), F.lit(plain))
+        return piece
+
+    # Doubled backslashes first, so that what follows one isn't taken for an escape.
+    pieces = F.transform(F.split(text, r"\\\\", -1), part)
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(pieces, "\\")).otherwise(text)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of all count files anywhere below a directory, in column ``value``."""
+    return spark.read.options(recursiveFileLookup=True, lineSep="\n").text(path)
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """Headerless (user_id, action, cnt) files anywhere below a directory: the union of all runs.
 
-    Counts have no missing ids, but the reader takes an empty id for one.
+    Fields are plain text without quoting. Lines that aren't three fields with a count are left out;
+    ``reason_counts`` of the lines says how many there are.
     """
-    reader = spark.read.schema(schemas.COUNTS).options(**_FORMAT, recursiveFileLookup=True)
-    return reader.csv(path).fillna("", ["user_id", "action"])
+    rows = valid_tuples(read_lines(spark, path))
+    return rows.select(_unescaped(F.col("user_id")).alias("user_id"), _unescaped(F.col("action")).alias("action"), "cnt")
 
 
 def read_latest_run(spark: SparkSession, path: str) -> DataFrame:
@@ -25,12 +48,14 @@ def read_latest_run(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_counts(counts: DataFrame, path: str, run_id: str) -> None:
-    """One directory per run, each user's rows together and in action order.
+    """One directory per run, each user's rows together in one file and in action order.
 
-    Counts are already partitioned by user, so sorting within partitions is enough.
+    Counts come partitioned by user from all producers, so sorting within partitions is enough. Tabs, line ends and
+    backslashes in names are escaped with a backslash.
     """
     ordered = counts.select("user_id", "action", "cnt").sortWithinPartitions("user_id", "action")
-    ordered.write.options(**_FORMAT).csv(f"{path}/run_id={run_id}")
+    line = F.concat_ws("\t", _escaped(F.col("user_id")), _escaped(F.col("action")), F.col("cnt").cast("string"))
+    ordered.select(line.alias("value")).write.option("lineSep", "\n").text(f"{path}/run_id={run_id}")
 
 
 def validate_lines(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -10,19 +10,34 @@ from pyspark.sql import types as T
 from clickloom import schemas
 
 
+# Temporary folders of local sessions, by application, and scratch directories that were handed out.
+_local_roots: dict[str, str] = {}
+_handed_out: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """New directory name in the folder the cluster shares for checkpoints.
 
-    Without that setting a local session gets a temporary folder; a cluster session is refused, because
-    executors could not see a folder of the driver's machine.
+    That is ``spark.checkpoint.dir``, or the directory that was set on the context. Without either a local session
+    gets a temporary folder; a cluster session is refused, because executors could not see a folder of the
+    driver's machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or _local_roots.get(context.applicationId)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="clickloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        root = _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="clickloom-")
+    _handed_out.append(f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _handed_out[-1]
+
+
+def delete_scratch(spark: SparkSession) -> None:
+    """Delete what was written to scratch directories; frames that were read from there are gone then."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    while _handed_out:
+        path = hadoop.Path(_handed_out.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -45,8 +60,12 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
+    quoted = "`" + name.replace("`", "``") + "`"
+    if location is None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted}")
+    else:
+        escaped = location.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted} LOCATION '{escaped}'")
 
 
 def _placed(df: DataFrame, partition_by: str | None, order_by: str | None) -> DataFrame:
@@ -98,7 +117,7 @@ def subdirectories(spark: SparkSession, path: str) -> dict[str, bool]:
 
 
 def latest_run(spark: SparkSession, path: str) -> str:
-    done = [name for name, completed in subdirectories(spark, path).items() if completed]
+    done = [name for name, completed in subdirectories(spark, path).items() if completed and name.startswith("run_id=")]
     if not done:
         raise FileNotFoundError(f"no completed run below {path}")
     return max(done)
@@ -109,6 +128,13 @@ def read_metrics(spark: SparkSession, path: str, document: bool = False) -> Data
     return spark.read.schema(schemas.METRICS).option("multiLine", document).json(path)
 
 
+def read_assignments(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
+    """Cluster assignments, as Parquet; with ``document`` as one JSON array of records per file."""
+    if not document:
+        return spark.read.parquet(path)
+    return spark.read.schema(schemas.ASSIGNMENTS).option("multiLine", True).json(path)
+
+
 def read_cluster_metadata(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
     """Cluster records, one per line; with ``document`` a JSON array or an object with a ``clusters`` list."""
     record = schemas.CLUSTER_METADATA

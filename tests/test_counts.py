@@ -78,6 +78,46 @@ def test_runs(spark, small, tmp_path):
     assert counts_tsv.read_counts(spark, path).count() == 2 * whole.count() + 1
 
 
+HOSTILE = ["a\tb", "a\nb", "a\rb", 'a"b', '"', "a\\b", "\\t", "\\\\n", " a ", "", "é"]
+
+
+def test_hostile_ids_survive(spark, tmp_path):
+    rows = spark.createDataFrame([(u, a, 3) for u in HOSTILE for a in ("click", "x\ty")], "user_id string, action string, cnt long")
+    counts_tsv.write_counts(rows, str(tmp_path), "1")
+    assert sorted(map(tuple, counts_tsv.read_counts(spark, str(tmp_path)).collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_foreign_lines(spark, tmp_path):
+    (tmp_path / "part-0").write_text('"lead\tclick\t3\n"q"\tclick\t 4\r\nbad\tclick\n\nu\tclick\tx\n')
+    assert sorted(map(tuple, counts_tsv.read_counts(spark, str(tmp_path)).collect())) == [('"lead', "click", 3), ('"q"', "click", 4)]
+    reasons = {r.reason: r.n for r in counts_tsv.reason_counts(counts_tsv.read_lines(spark, str(tmp_path))).collect()}
+    assert reasons == {"ok": 2, "malformed_input": 1, "blank": 1, "bad_count": 1}
+
+
+@pytest.mark.parametrize("producer", ["events", "tuples"])
+def test_a_user_is_in_one_file(spark, small, tmp_path, producer):
+    events = event_table.events(spark, small)
+    found = counts.action_counts(events)
+    if producer == "tuples":
+        tuples = cleaning.emitted(events).select("user_id", "action", F.lit(1).cast("long").alias("cnt"))
+        found = counts.reduce_tuples(tuples)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counts_tsv.write_counts(found, str(tmp_path), "1")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = counts_tsv.read_lines(spark, str(tmp_path)).select(F.split("value", "\t")[0].alias("u"), F.input_file_name().alias("f"))
+    assert rows.groupBy("u").agg(F.countDistinct("f").alias("n")).where("n > 1").count() == 0
+    assert rows.select("f").distinct().count() > 1
+
+
+def test_only_run_directories_are_runs(spark, tmp_path):
+    for name in ("run_id=1", "tmp_sorted"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "_SUCCESS").touch()
+    assert storage.latest_run(spark, str(tmp_path)) == "run_id=1"
+
+
 def test_no_completed_run_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         storage.latest_run(spark, str(tmp_path))

@@ -15,7 +15,8 @@ SESSION = (
 
 
 def _joined(spark, pivot, session_rows):
-    return features.join_features(spark.createDataFrame(pivot, PIVOT), spark.createDataFrame(session_rows, SESSION))
+    rows = spark.createDataFrame(session_rows, SESSION).withColumn("first_ts", F.try_to_timestamp("session_start"))
+    return features.join_features(spark.createDataFrame(pivot, PIVOT), rows)
 
 
 @pytest.mark.parametrize("searches, messages, minutes, label", [

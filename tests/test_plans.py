@@ -1,5 +1,6 @@
 """Shape of the physical plans: shuffles, scans, aggregates."""
 
+import json
 import re
 
 import pytest
@@ -7,8 +8,9 @@ from conftest import record
 from pyspark.sql import functions as F
 
 from checks.registry import QUERIES
+from clickloom import schemas
 from clickloom.operators import counts, features, sessions, telemetry
-from clickloom.sources import event_table
+from clickloom.sources import event_table, raw_log
 
 
 def plan(df) -> str:
@@ -80,6 +82,17 @@ def test_hot_session_matches_brute_force(spark, small):
 
 
 def test_a_filter_on_status_does_not_parse_again(typed):
-    """One parse and its repair, one record, however many record fields the filter looks at."""
+    """One parse and its repair, the same for both ways of cutting up an odd line, and one record, however many record
+    fields the filter looks at."""
     text = plan(counts.action_counts(typed(record())))
-    assert text.count("parseJson") == 2 and text.count("StructField(timestamp,") == 1
+    assert text.count("parseJson") == 6 and text.count("StructField(timestamp,") == 1
+
+
+@pytest.mark.parametrize("build, read, spared", [
+    (counts.action_counts, schemas.COUNT_RECORD, ["timestamp", "query", "url", "content_snippet", "referrer", "ip", "country"]),
+    (features.session_table, schemas.FEATURE_RECORD, ["url", "content_snippet", "referrer", "meta", "ip", "schema_version"]),
+])
+def test_a_job_extracts_its_fields_only(spark, build, read, spared):
+    lines = spark.createDataFrame([(json.dumps(record()),)], "line string")
+    text = plan(build(raw_log.type_events(lines, record=read)))
+    assert not [f for f in spared if f"StructField({f}," in text]

@@ -38,7 +38,7 @@ def test_projection_equals_principal_axes(rows, fitted, matrix):
     values, vectors = np.linalg.eigh(np.corrcoef(matrix.T))
     top = vectors[:, ::-1][:, :2]
     top = top * np.sign(top[np.abs(top).argmax(axis=0), [0, 1]])
-    shares = [r.explained_variance for r in segmentation.explained_variance(fitted).orderBy("component").collect()]
+    shares = [r.explained_variance for r in segmentation.explained_variance(fitted.projection).orderBy("component").collect()]
     assert shares == pytest.approx(values[::-1][:2] / values.sum())
     found = fitted.assignments(rows).orderBy("user_id").collect()
     assert np.allclose([[r.pca_x, r.pca_y] for r in found], matrix @ top, atol=1e-9)
