@@ -5,12 +5,14 @@ the other, cut into sequences; the last one is filled up and its mask is 0 there
 an array view. A table lists the documents of each file with place and length.
 """
 
+import re
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,34 +28,83 @@ BATCH = 128
 #: Id that ends a document.
 END = 1
 #: Words whose ids a worker remembers before it starts over.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
+#: Bytes of text that are encoded together.
+TOGETHER = 4 << 20
+
+#: Words of visible Latin-1 characters, which normalisation keeps and lower case maps one to one.
+_LATIN = re.compile("[!-~¡-ÿ]+").fullmatch
+#: A comma or full stop right after another mark.
+_RUN_ON = re.compile(r"(?:[^\w\s]|_)[.,] ").search
+#: The pieces that the tokenizer's pattern finds.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
 
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and never joins what white space divides.
 
-    So each word is encoded by the library once and remembered. Special tokens in a text are ordinary text.
+    The ids of words are remembered. Texts of Latin-1 characters are put in lower case first, as the tokenizer does, and a
+    comma or full stop after a letter or digit becomes a word of its own, as in the tokenizer's pattern, so that
+    there are fewer different words. Many new words of letters go through the library together: each ends with a token
+    that marks an end, which tells their ids apart. Words of letters and other characters are cut into the pieces of
+    the pattern. All others go through the library one by one. Special tokens in a text are ordinary text.
     """
 
     def __init__(self, rules: str):
         self.tokenizer = Tokenizer.from_str(rules)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
         # Other white space stays inside words, where the library drops it.
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = list(set().union(*cut).difference(self.words))
-        for low in range(0, len(fresh), 10_000):
-            part = fresh[low:low + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.words[word] = np.array(found.ids, self.dtype).tobytes()
-        ids = self.words.__getitem__
+        cut = [_prepared(t).split(" ") for t in texts]
+        fresh = set().union(*cut).difference(self.known)
+        mixed = {w: _PIECES(w.lower()) for w in fresh if not w.isalpha() and _LATIN(w)}
+        pieces = fresh.difference(mixed).union(*mixed.values()).difference(self.known)
+        self._resolve(pieces)
+        ids = self.known.__getitem__
+        self.known.update([(w, b"".join(map(ids, found))) for w, found in mixed.items()])
         return [b"".join(map(ids, words)) for words in cut]
 
+    def _resolve(self, pieces: set[str]) -> None:
+        """Remember the ids of these words and pieces."""
+        letters = [p for p in pieces if p.isalpha() and _LATIN(p)]
+        self._library(list(pieces.difference(letters)))
+        for low in range(0, len(letters), 2000):
+            part = letters[low:low + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(part):
+                self._library(part)
+                continue
+            data, stops = ids.tobytes(), (stops * self.dtype.itemsize).tolist()
+            self.known.update(zip(part, [data[a:b] for a, b in zip([0, *stops], stops)]))
+
+    def _library(self, words: list[str]) -> None:
+        for low in range(0, len(words), 10_000):
+            part = words[low:low + 10_000]
+            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[word] = np.array(found.ids, self.dtype).tobytes()
+
+
+def _prepared(text: str) -> str:
+    """The text with spaces where words end, as far as that changes nothing."""
+    text = text.replace("\n", " ")
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    text = text.lower()
+    if _RUN_ON(text):  # the mark belongs to a run of marks
+        return text
+    return text.replace(", ", " , ").replace(". ", " . ")
+
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -79,7 +130,7 @@ class SequenceWriter:
     def __init__(self, path: str, dtype: np.dtype, sequence: int, batch: int):
         self.dtype, self.sequence, self.batch = dtype, sequence, batch
         kind = pa.from_numpy_dtype(dtype)
-        self.schema = pa.schema({"tokens": pa.list_(kind, sequence), "mask": pa.list_(pa.uint8(), sequence)})
+        self.schema = pa.schema({"tokens": pa.list_(kind, sequence), "mask": pa.list_(pa.bool_(), sequence)})
         fs, local = _located(path)
         fs.create_dir(local.rpartition("/")[0], recursive=True)
         self.sink = fs.open_output_stream(local)
@@ -104,8 +155,7 @@ class SequenceWriter:
         rows = -(-len(ids) // self.sequence)
         filled = np.zeros(rows * self.sequence, self.dtype)
         filled[:len(ids)] = ids
-        mask = np.zeros(rows * self.sequence, np.uint8)
-        mask[:len(ids)] = 1
+        mask = np.arange(rows * self.sequence) < len(ids)
         self.file.write_batch(pa.record_batch(
             [pa.FixedSizeListArray.from_arrays(pa.array(c), self.sequence) for c in (filled, mask)], schema=self.schema,
         ))
@@ -139,11 +189,12 @@ class SequenceFile:
         last = self.reader.num_record_batches - 1
         return 0 if last < 0 else last * self.per_batch + len(self._batch(last))
 
-    def __getitem__(self, number: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of a sequence."""
+    def __getitem__(self, number: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of a sequence; the mask has one bit for each id."""
         batch, row = self._batch(number // self.per_batch), number % self.per_batch
-        low, high = row * self.sequence, (row + 1) * self.sequence
-        return tuple(batch.column(c).values.to_numpy()[low:high] for c in ("tokens", "mask"))
+        low = row * self.sequence
+        tokens = batch.column("tokens").values.to_numpy()[low:low + self.sequence]
+        return tokens, batch.column("mask").values.slice(low, self.sequence)
 
     def ids(self, start: int, count: int):
         """Views of the ids from a place on, batch by batch."""
@@ -176,7 +227,7 @@ def write(docs: DataFrame, rules_path: str, doc_id: str = "doc_id", text: str =
         for rows in batches:
             texts = rows.column("text")
             _, offsets = blocks.text_bytes(texts)
-            for low, high in blocks.blocks(offsets):
+            for low, high in blocks.blocks(offsets, TOGETHER):
                 if writer is None:
                     path = f"{folder}/tokens-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.arrow"
                     writer = SequenceWriter(path, own.dtype, sequence, batch)
@@ -236,7 +287,7 @@ def read_sequences(spark: SparkSession, index: DataFrame) -> DataFrame:
                     one = np.array([file.sequence])
                     yield pa.record_batch([
                         pa.array([path]), pa.array([number]), blocks.lists(pa.array(tokens.astype(np.int32)), one),
-                        blocks.lists(pa.array(mask.astype(np.int32)), one),
+                        blocks.lists(mask.cast(pa.int32()), one),
                     ], ["file", "sequence", "tokens", "mask"])
 
     return index.select("file").distinct().mapInArrow(run, "file string, sequence long, tokens array<int>, mask array<int>")

@@ -22,7 +22,7 @@ def tokenizer():
 def test_words_as_whole_texts(tokenizer):
     texts = [t or "" for _, t in EDGE_TEXTS] + [
         "a\x1cb c d　e", "É É H̱ H ̱x", "ΑΣ ΑΣΑ İ K", "it's 'S don't9x 12 !?", "<|endoftext|>x <|startoftext|>", " lead  and\ttrail ",
-        "́x ́ y", "漢字 😀👍🏽",
+        "́x ́ y", "漢字 😀👍🏽", "a., b.. c ., d_, e5, f. g . , h²,. ¼. µ, 'S, it'S. ", "Ünder, ÀÉ. \xa0x\xa0, y\x85. z", "", " ", ", . ",
     ]
     encoder = token_files.WordEncoder(open(PATH, encoding="utf-8").read())
     got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
