@@ -172,6 +172,34 @@ def _wide(table: str, value: str) -> str:
     return f"SELECT user_id, {columns} FROM {table} GROUP BY user_id"
 
 
+def _power_iteration(rounds: int = 600) -> str:
+    """Shares of the two largest eigenvalues of the covariance matrix: the second after the first one's part is taken off."""
+    n = len(C.FEATURES)
+    times = "list_transform(m, lambda r: list_dot_product(r, v))"
+
+    def step(number: int, matrix: str) -> str:
+        name = f"power_{number}"
+        return f"""
+        , {name} AS (
+            SELECT 0 AS k, m, list_transform(range({n}), lambda x: 1 + x / 50.0::DOUBLE) AS v FROM {matrix}
+            UNION ALL
+            SELECT k + 1, m, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))
+            FROM (SELECT k, m, {times} AS w FROM {name}) WHERE k < {rounds})
+        , largest_{number} AS (SELECT m, v, list_dot_product(v, {times}) AS l FROM {name} WHERE k = {rounds})"""
+
+    rest = f"list_transform(range(1, {n + 1}), lambda i: list_transform(range(1, {n + 1}), lambda j: m[i][j] - l * v[i] * v[j]))"
+    return f"""
+        , cells_of AS (SELECT a.feature AS i, b.feature AS j, sum(a.z * b.z) AS c
+            FROM standard a JOIN standard b ON a.user_id = b.user_id GROUP BY ALL)
+        , matrix_1 AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM cells_of GROUP BY i))
+        {step(1, "matrix_1")}
+        , matrix_2 AS (SELECT {rest} AS m FROM largest_1)
+        {step(2, "matrix_2")}
+        , whole AS (SELECT sum(c) AS trace FROM cells_of WHERE i = j)
+        SELECT CAST(1 AS INTEGER) AS component, round(l / trace, 6) AS explained_variance FROM largest_1, whole
+        UNION ALL SELECT CAST(2 AS INTEGER), round(l / trace, 6) FROM largest_2, whole"""
+
+
 def _cases(expected: dict[int, str]) -> str:
     return " ".join(f"WHEN {k} THEN {v}" for k, v in expected.items())
 
@@ -292,6 +320,7 @@ ORACLES = {
         , sides AS (SELECT user_id, any_value(d) FILTER (cluster = other_cluster) AS a,
                 min(d) FILTER (cluster <> other_cluster) AS b FROM means GROUP BY user_id)
         SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM sides"""),
+    "pca_variance": _with("standard", _power_iteration()).replace("WITH", "WITH RECURSIVE", 1),
     "cluster_sizes": _with("clustered", "SELECT cluster, count(*) AS n_users FROM clustered GROUP BY cluster"),
     "cluster_records": _with("assigned", """
         SELECT cluster AS cluster_id, any_value(archetype) AS archetype,
