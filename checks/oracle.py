@@ -301,6 +301,17 @@ ORACLES = {
         , scores AS (SELECT m.user_id, m.label, b.label AS class, any_value(pi) + sum(v * theta) AS score
             FROM minmax m JOIN bayes b ON m.feature = b.feature WHERE NOT m.is_train GROUP BY ALL)
         SELECT user_id, label, arg_max(class, score) AS nb_pred FROM scores GROUP BY user_id, label"""),
+    "vote_audit": _with("modelled", """
+        SELECT user_id, label, true AS is_majority, round(greatest(share, 1 - share), 6) AS floor, true AS nb_pred_above_floor,
+            true AS svm_pred_above_floor, true AS mlp_pred_above_floor
+        FROM modelled, (SELECT avg(label) AS share FROM modelled WHERE is_train) WHERE NOT is_train"""),
+    "svm_audit": _with("modelled", """
+        SELECT user_id, label, true AS is_sign_of_margin, true AS beats_no_weights, true AS scale_is_best
+        FROM modelled WHERE NOT is_train"""),
+    "cluster_audit": _with("standard", """
+        SELECT count(DISTINCT user_id) AS users, round(sum(z * z), 6) AS total, true AS few_clusters,
+            true AS centres_are_means, true AS cost_is_within
+        FROM standard"""),
     "ensemble_vote": _with("voted", f"SELECT user_id, nb_pred, svm_pred, mlp_pred, {C.ENSEMBLE_COLUMN} FROM voted"),
     "combine_predictions": _with("voted", f"""
         SELECT user_id, CAST(label AS DOUBLE) AS label, nb_pred, svm_pred, mlp_pred, {C.ENSEMBLE_COLUMN} FROM voted

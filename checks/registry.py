@@ -450,6 +450,48 @@ def trained_metrics(spark, sf_dir):
     return evaluation.classification_metrics(scored)
 
 
+@query
+def vote_audit(spark, sf_dir):
+    """Of each test user, whether the fitted vote is the majority of its three columns; of the training users, whether
+    each fitted model is right more often than the larger class is large."""
+    rows = stored_model_input(spark, sf_dir)
+    train, test = scaling.split(rows)
+    fitted = classification_job.fit_on(rows)
+    columns = list(fitted.models)
+    on_train = models.predictions(fitted, train)
+    right = on_train.agg(*[F.avg((F.col(c) == F.col("label")).cast("double")).alias(c) for c in columns]).first()
+    floor = train.agg(F.greatest(F.avg("label"), 1 - F.avg("label"))).first()[0]
+    ones = sum((F.col(c) for c in columns[1:]), F.col(columns[0]))
+    return models.predictions(fitted, test).select(
+        "user_id", "label", (F.col(C.ENSEMBLE_COLUMN) == F.when(ones >= 2, 1.0).otherwise(0.0)).alias("is_majority"),
+        F.lit(floor).alias("floor"), *[F.lit(right[c] >= floor).alias(f"{c}_above_floor") for c in columns],
+    )
+
+
+@query
+def svm_audit(spark, sf_dir):
+    """Of each test user, whether the prediction is the sign of the fitted margin; of the fit, whether its objective is
+    below that of no weights, which is 1, and can't be lowered by scaling the weights."""
+    rows = stored_model_input(spark, sf_dir)
+    train, test = scaling.split(rows)
+    model = classification_job.fit_one(rows, models.fit_linear_svm)
+    svm = model.stages[-1]
+    weights, bias = [float(w) for w in svm.coefficients], float(svm.intercept)
+    raw = F.aggregate(
+        F.zip_with(vector_to_array("standard_features"), F.array(*[F.lit(w) for w in weights]), lambda x, w: x * w),
+        F.lit(bias), lambda a, b: a + b,
+    )
+    scored = model.transform(train).select(((2 * F.col("label") - 1) * raw).alias("margin"))
+    # The penalty is on the weights of the scaled features.
+    penalty = models.linear_svm().getRegParam() / 2 * sum(w * w for w in weights)
+    loss = [(F.avg(F.greatest(1 - F.col("margin") * k, F.lit(0.0))) + penalty * k * k) for k in (1.0, 0.9, 1.1)]
+    own, lower, higher = scored.agg(*loss).first()
+    return model.transform(test).select(
+        "user_id", "label", ((raw > 0).cast("double") == F.col("svm_pred")).alias("is_sign_of_margin"),
+        F.lit(own < 1).alias("beats_no_weights"), F.lit(own <= min(lower, higher) + 1e-3).alias("scale_is_best"),
+    )
+
+
 @query
 def ensemble_vote(spark, sf_dir):
     voted = rule_predictions(feature_rows(spark, sf_dir))
@@ -492,6 +534,28 @@ def cluster_metadata(spark, sf_dir):
     return segmentation.cluster_metadata(segmentation_job.fit_on(rows), rows)
 
 
+@query
+def cluster_audit(spark, sf_dir):
+    """Fitted clusters add up: users, and squared distances within and between clusters to the total; the model's own
+    cost and centres are those of the assignment."""
+    rows = features.model_input(stored_features(spark, sf_dir), labelled=False)
+    fitted = segmentation_job.fit_on(rows)
+    placed = storage.stage(fitted.model.transform(rows).select("cluster", vector_to_array("standard_features").alias("z")), "placed")
+    each = placed.select("cluster", F.posexplode("z").alias("i", "x")).groupBy("cluster", "i").agg(
+        F.count("*").alias("n"), F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"),
+    )
+    within = F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n"))
+    between = F.sum(F.col("s") * F.col("s") / F.col("n"))
+    found = each.agg(within.alias("within"), between.alias("between"), F.countDistinct("cluster").alias("used")).first()
+    means = {(r.cluster, r.i): r.s / r.n for r in each.collect()}  # clusters times features
+    centres = all(abs(means[c, i] - v) < 1e-6 for c, centre in enumerate(fitted.centers) for i, v in enumerate(centre) if (c, i) in means)
+    cost = float(fitted.clusters.summary.trainingCost)
+    return placed.agg(F.count("*").alias("users")).select(
+        "users", F.lit(found.within + found.between).alias("total"), F.lit(found.used <= C.CLUSTERS).alias("few_clusters"),
+        F.lit(centres).alias("centres_are_means"), F.lit(abs(cost - found.within) < 1e-6 * max(cost, 1)).alias("cost_is_within"),
+    )
+
+
 @query
 def pca_variance(spark, sf_dir):
     rows = features.model_input(stored_features(spark, sf_dir), labelled=False)
