@@ -18,9 +18,11 @@ BACKOFF = 0.4
 #: Pairs seen less often are not in the table.
 MIN_PAIR = 2
 #: Text bytes of a block, on average.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 #: Documents of a block that are worked on at a time have so many bytes.
 PART_BYTES = 1 << 20
+#: N-grams that are gathered before equal ones are counted together.
+FOLD = 1 << 20
 
 
 def score(docs: DataFrame, corpus: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text",
@@ -93,12 +95,25 @@ def _distinct(table: pa.Table) -> tuple[np.ndarray, np.ndarray, int]:
         words += len(single)
         found += [single, pairs[~heads]]
         size += 2 * len(single)
-        if size > 1 << 22:
+        if size > FOLD:
             fold()
     fold()
     return grams, times, words
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Integers with their first bytes together, then their second ones and so on.
+
+    The high bytes of sorted hashes, of places and of counts are alike and compress well.
+    """
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.dtype.itemsize).T).tobytes()
+
+
+def _from_planes(data, kind: type) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
 def _edges(parts: int) -> np.ndarray:
     return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
 
@@ -116,8 +131,8 @@ def _lists(dealt: DataFrame, parts: int, counts: bool, offset: int) -> DataFrame
             "part": pa.array([i for i, _, _ in rows], pa.int32()),
             "block": pa.array([block if asks else -2 - block] * len(rows), pa.int64()),
             "asks": pa.array([asks] * len(rows), pa.bool_()), "counts": pa.array([counts] * len(rows), pa.bool_()),
-            "grams": pa.array([grams[a:b].tobytes() for _, a, b in rows], pa.binary()),
-            "times": pa.array([times[a:b].astype(np.uint32).tobytes() for _, a, b in rows], pa.binary()),
+            "grams": pa.array([_planes(grams[a:b]) for _, a, b in rows], pa.binary()),
+            "times": pa.array([_planes(times[a:b]) for _, a, b in rows], pa.binary()),
             "words": pa.array([words if n == 0 and counts else 0 for n in range(len(rows))], pa.int64()),
         })
 
@@ -129,8 +144,8 @@ def _totals(table: pa.Table) -> pa.Table:
 
     A block gets the places in its list whose total isn't its own count, with the totals; block -1 has the words.
     """
-    lists = [np.frombuffer(g.as_buffer(), np.uint64) for g in table.column("grams")]
-    times = [np.frombuffer(t.as_buffer(), np.uint32).astype(np.int64) for t in table.column("times")]
+    lists = [_from_planes(g.as_buffer(), np.uint64) for g in table.column("grams")]
+    times = [_from_planes(t.as_buffer(), np.int64) for t in table.column("times")]
     counts, asks = table.column("counts").to_pylist(), table.column("asks").to_pylist()
     counted = [g for g, c in zip(lists, counts) if c]
     grams, where = np.unique(np.concatenate([np.zeros(0, np.uint64), *counted]), return_inverse=True)
@@ -144,8 +159,8 @@ def _totals(table: pa.Table) -> pa.Table:
         here = np.where(grams[place] == own, total[place], 0) if len(grams) else np.zeros(len(own), np.int64)
         differs = np.flatnonzero(here != (n if counts_ else 0))
         numbers.append(block)
-        at.append(differs.astype(np.uint32).tobytes())
-        sums.append(here[differs].tobytes())
+        at.append(_planes(differs))
+        sums.append(_planes(here[differs]))
     words = sum(table.column("words").to_pylist())
     n = len(numbers)
     return pa.table({
@@ -162,8 +177,7 @@ def _scores(block: pa.Table, answers: pa.Table, parts: int, own: bool, total: in
     # Lists were cut where the hash ranges begin; a place in a list counts from there.
     begin = np.concatenate([[0], np.searchsorted(grams, _edges(parts))])
     for part, at, totals in zip(*(answers.column(c) for c in ("part", "at", "totals"))):
-        places = np.frombuffer(at.as_buffer(), np.uint32).astype(np.int64) + begin[part.as_py()]
-        known[places] = np.frombuffer(totals.as_buffer(), np.int64)
+        known[_from_planes(at.as_buffer(), np.int64) + begin[part.as_py()]] = _from_planes(totals.as_buffer(), np.int64)
     sums, lengths = [], []
     for words, pairs, heads, first in _grams(block):
         n = known[np.searchsorted(grams, words)] if len(words) else np.zeros(0, np.int64)
