@@ -33,6 +33,15 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         low = high
 
 
+def parts(batches, column: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of batches whose texts are a block, with their bytes and the offsets of their rows from the first one."""
+    for batch in batches:
+        data, offsets = text_bytes(batch.column(column))
+        for low, high in blocks(offsets, limit):
+            first = offsets[low]
+            yield batch.slice(low, high - low), data[first:offsets[high]], offsets[low:high + 1] - first
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... of each range, one after the other."""
     total = int(lengths.sum())

@@ -31,10 +31,12 @@ from clickloom.llm import blocks, hashing, suffix_array, workspace
 WIDTH = 200
 #: Bytes that an anchor's hash covers.
 ANCHOR = 40
+#: Bytes of text that are hashed at a time.
+ANCHOR_BYTES = 1 << 18
 #: Different contexts of one anchor that a shard may hold.
 MAX_CONTEXTS = 4096
 #: Bytes of contexts in a shard, unless one anchor has more.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 #: Separates contexts in a shard; never part of UTF-8.
 SEPARATOR = 0xFF
 
@@ -119,7 +121,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarr
 def _text_anchors(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Row, first window, number of windows and anchor hash of each context, by block."""
     data, offsets = blocks.text_bytes(batch.column("bytes"))
-    for low, high in blocks.blocks(offsets):
+    for low, high in blocks.blocks(offsets, ANCHOR_BYTES):
         begin = offsets[low]
         start, count, found = anchors(data[begin:offsets[high]], offsets[low:high + 1] - begin, width)
         row = np.searchsorted(offsets, start + begin, side="right") - 1
@@ -148,8 +150,7 @@ def _hits(rows: DataFrame, width: int) -> DataFrame:
                 )
 
     def contexts(batches):
-        for batch in batches:
-            data, offsets = blocks.text_bytes(batch.column("bytes"))
+        for batch, data, offsets in blocks.parts(batches, "bytes"):
             wanted = batch.column("wanted")
             row = np.repeat(np.arange(len(batch)), np.diff(wanted.offsets.to_numpy()))
             wanted = wanted.flatten()
@@ -157,12 +158,7 @@ def _hits(rows: DataFrame, width: int) -> DataFrame:
             start = offsets[row] + at
             end = start + wanted.field("windows").to_numpy(zero_copy_only=False) + width - 1
             anchor = wanted.field("anchor")
-            digest = np.zeros(len(row), np.uint64)
-            for low, high in blocks.blocks(offsets):
-                part = slice(*np.searchsorted(row, [low, high]))
-                if part.start < part.stop:
-                    sums = hashing.Polynomial(data[offsets[low]:offsets[high]])
-                    digest[part] = sums.of(start[part] - offsets[low], end[part] - offsets[low])
+            digest = hashing.Polynomial(data).of(start, end)
             order = np.lexsort((anchor.to_numpy(), digest))
             given = np.ones(len(row), bool)
             given[order[1:]] = (digest[order[1:]] != digest[order[:-1]]) | (
@@ -338,8 +334,7 @@ def _cut(rows: DataFrame, spans: DataFrame, whole_characters: bool) -> DataFrame
     rest = [c for c in rows.columns if c == "rest"]
 
     def cut(batches):
-        for batch in batches:
-            data, offsets = blocks.text_bytes(batch.column("bytes"))
+        for batch, data, offsets in blocks.parts(batches, "bytes"):
             ranges = batch.column("ranges")
             count = np.diff(ranges.offsets.to_numpy())
             if ranges.null_count:
@@ -356,24 +351,21 @@ def _cut(rows: DataFrame, spans: DataFrame, whole_characters: bool) -> DataFrame
             fresh[1:] = (row[1:] != row[:-1]) | (start[1:] > reach[:-1])
             last = np.append(fresh[1:], True) if len(row) else fresh
             row, start, end = row[fresh], start[fresh], reach[last]
-            gone = np.zeros(int(offsets[-1]) + 1, np.int8)
+            gone = np.zeros(len(data) + 1, np.int8)
             np.add.at(gone, start, 1)
             np.add.at(gone, end, -1)
-            keep = np.cumsum(gone[:-1], dtype=np.int8)[offsets[0]:] == 0
-            here = data[offsets[0]:offsets[-1]]
-            if whole_characters and len(here):
-                character = np.cumsum((here & 0xC0) != 0x80)
+            keep = np.cumsum(gone[:-1], dtype=np.int8) == 0
+            if whole_characters and len(data):
+                character = np.cumsum((data & 0xC0) != 0x80)
                 keep &= (np.bincount(character, ~keep) == 0)[character]
-            kept = here[keep]
-            ends = np.concatenate([[0], np.cumsum(keep)])[offsets - offsets[0]].astype(np.int32)
-            spans_of = np.bincount(row, minlength=len(batch))
+            ends = np.concatenate([[0], np.cumsum(keep)])[offsets].astype(np.int32)
             pair = pa.StructArray.from_arrays(
                 [pa.array((start - offsets[row]).astype(np.int32)), pa.array((end - offsets[row]).astype(np.int32))],
                 ["start", "end"],
             )
             yield pa.record_batch([
-                batch.column("doc_id"), pa.array(np.diff(offsets)), blocks.lists(pair, spans_of),
-                pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(ends), pa.py_buffer(kept)]),
+                batch.column("doc_id"), pa.array(np.diff(offsets)), blocks.lists(pair, np.bincount(row, minlength=len(batch))),
+                pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(ends), pa.py_buffer(data[keep])]),
                 *[batch.column(c) for c in rest],
             ], ["doc_id", "n_bytes", "spans", "kept", *rest])
 
