@@ -159,6 +159,11 @@ class Codec:
                 found.append(self.plain([text])[0])
         return found
 
+    def forget(self) -> None:
+        """Drop what is remembered: a worker lives on after its task, and other stages need the memory."""
+        self.pieces.clear()
+        self.words.clear()
+
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of ids, one after the other."""
         return self.joined[blocks.ranges(self.starts[ids], self.lengths[ids])]
@@ -182,14 +187,17 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
 
     def run(batches):
         own = codec(*shared.value)
-        for batch in batches:
-            texts = batch.column(1)
-            _, offsets = blocks.text_bytes(texts)
-            for low, high in blocks.blocks(offsets):
-                ids = own.encode([t or "" for t in texts.slice(low, high - low).to_pylist()])
-                lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-                values = np.frombuffer(b"".join(ids), np.int32)
-                yield pa.record_batch([batch.column(0).slice(low, high - low), blocks.lists(pa.array(values), lengths)], ["doc_id", "ids"])
+        try:
+            for batch in batches:
+                texts = batch.column(1)
+                _, offsets = blocks.text_bytes(texts)
+                for low, high in blocks.blocks(offsets):
+                    ids = own.encode([t or "" for t in texts.slice(low, high - low).to_pylist()])
+                    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                    values = np.frombuffer(b"".join(ids), np.int32)
+                    yield pa.record_batch([batch.column(0).slice(low, high - low), blocks.lists(pa.array(values), lengths)], ["doc_id", "ids"])
+        finally:
+            own.forget()
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
