@@ -10,7 +10,7 @@ bucket induces into itself, which are found in rounds. Small buckets are taken t
 import numpy as np
 
 #: Array items that a scan takes at once, as far as buckets allow.
-STEP = 1 << 12
+STEP = 1 << 11
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
