@@ -168,14 +168,21 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     parts = -(-size // query_bytes) or 1
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    found = []
+    found, index = [], None
+    if parts > 1:
+        # One stored index for all blocks: its segment numbers name the same documents in each.
+        index = build_index(rows, vocabulary=_vocabulary(asked))
     for part in range(parts):
         block = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
         phrases = Phrases([r.text for r in block], window)
-        index = build_index(rows, vocabulary=phrases.vocabulary)
+        if index is None:
+            index = build_index(rows, vocabulary=phrases.vocabulary)
         spread = index.select(F.explode(F.arrays_zip("terms", F.slice("first_places", 2, F.size("terms")).alias("to"),
                                                      F.col("first_places").alias("from"))).alias("p"))
         frequency = spread.where("p.terms is not null").groupBy("p.terms").agg(F.sum(F.expr("p.to - p.from")).alias("n"))
+        if parts > 1:  # the index has the terms of the other blocks too
+            own = spark.createDataFrame(pa.table({"terms": pa.array(phrases.vocabulary, pa.int64())}))
+            frequency = frequency.join(own, "terms", "left_semi")
         phrases.arrange({r.terms: r.n for r in frequency.collect()})
         names = np.array([r.item_id for r in block], object)
         found.append(_search(index, phrases, names, slop))
@@ -184,6 +191,20 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     return _united([workspace.stage(f, "matches") for f in found])
 
 
+def _vocabulary(items: DataFrame) -> np.ndarray:
+    """Sorted hashes of the different terms of all items."""
+    def build(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array(np.unique(terms(*_bytes(batch.column(0)))[0]))], ["term"])
+
+    def _bytes(column):
+        data, offsets = blocks.text_bytes(column)
+        return data[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+    found = items.select(F.col("text").cast("binary").alias("text")).mapInArrow(build, "term long").distinct().toArrow()
+    return np.sort(found.column("term").to_numpy())
+
+
 def _schema(kind: str) -> str:
     return (f"segment long, number int, doc_id {kind}, n_words long, n_hit long, items array<string>, "
             "spans array<struct<start:int,end:int>>")

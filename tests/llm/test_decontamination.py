@@ -70,3 +70,23 @@ def test_full_index_keeps_every_place(spark):
     index = decontamination.build_index(spark.createDataFrame([(1, "a b a"), (2, "b")], "doc_id long, text string")).collect()
     places = [sorted(p for r in index for p in r.places), sum(len(r.terms) for r in index)]
     assert places[1] in (2, 3) and sum(len(r.places) for r in index) == 4
+
+
+def test_blocks_of_items_when_splits_change(spark, frames, tmp_path, monkeypatch):
+    """A scan that is split in another way for the second block of items still gives the same documents."""
+    docs, items = frames
+    path, setting = str(tmp_path / "docs"), "spark.sql.files.maxPartitionBytes"
+    docs.repartition(12).write.parquet(path)
+    search, before = decontamination._search, spark.conf.get(setting)
+
+    def then_split(*args):
+        found = search(*args)
+        spark.conf.set(setting, "1m")
+        return found
+
+    monkeypatch.setattr(decontamination, "_search", then_split)
+    try:
+        found = decontamination.contaminated(decontamination.matches(spark.read.parquet(path), items, query_bytes=60))
+        assert digests(found) == sorted(brute.decontaminate(texts(), ITEMS))
+    finally:
+        spark.conf.set(setting, before)
