@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import workspace
 
-#: Labelled URLs that the trees are fitted on at most.
+#: Different labelled URLs that the trees are fitted on at most, half of them of each class.
 SAMPLE_ROWS = 20_000
 TREES, DEPTH = 20, 4
 
@@ -70,7 +70,7 @@ SUFFIX = ["f_rate_1", "f_times_1", "f_rate_2", "f_times_2"]
 
 @dataclass
 class Model:
-    """Trees with the suffix statistics of their sample, or a constant score."""
+    """Trees with the suffix statistics of all labelled URLs, or a constant score."""
 
     constant: float | None
     trees: GBTClassificationModel | None = None
@@ -80,8 +80,7 @@ class Model:
 def _with_suffixes(rows: DataFrame, suffixes: tuple[DataFrame, DataFrame]) -> DataFrame:
     """Add how often a suffix was blocked and how often it was seen; an unknown one has rate 1/2."""
     for number, table in enumerate(suffixes, start=1):
-        # As many rows as the sample at most.
-        rows = rows.join(F.broadcast(table), f"suffix_{number}", "left").withColumns({
+        rows = rows.join(table, f"suffix_{number}", "left").withColumns({
             f"f_rate_{number}": F.coalesce(f"f_rate_{number}", F.lit(0.5)), f"f_times_{number}": F.coalesce(f"f_times_{number}", F.lit(0.0)),
         })
     return VectorAssembler(inputCols=[*LEXICAL, *SUFFIX], outputCol="f_vector").transform(rows)
@@ -90,23 +89,34 @@ def _with_suffixes(rows: DataFrame, suffixes: tuple[DataFrame, DataFrame]) -> Da
 def fit(labelled: DataFrame, url: str = "url", label: str = "label", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Trees from URLs with label 1 (block) or 0 (allow); other labels are ignored.
 
-    The sample takes ``sample_rows`` rows at most, least hash of the URL first. Without labels the score is 0,
-    with one class only it is that class.
+    Suffixes are counted over all rows. The sample takes ``sample_rows`` different URLs at most, up to half of them of each
+    class, least hash first; weights restore how many rows each class has. Without labels the score is 0, with one class
+    only it is that class.
     """
     known = labelled.select(F.col(url).alias("url"), F.col(label).cast("double").alias("label")).where("label in (0, 1)")
-    sample = known.orderBy(F.xxhash64("url"), "url", "label").limit(sample_rows)
-    rows = workspace.stage(lexical(sample), "labelled_urls")
-    classes = sorted(r.label for r in rows.select("label").distinct().collect())
+    counted = workspace.stage(known.groupBy("url", "label").agg(F.count("*").alias("times")), "labelled_urls")
+    classes = {r.label: r.n for r in counted.groupBy("label").agg(F.sum("times").alias("n")).collect()}
     if len(classes) < 2:
-        return Model(classes[0] if classes else 0.0)
+        return Model(min(classes, default=0.0))
+    whole = lexical(counted)
     suffixes = tuple(
-        workspace.stage(rows.groupBy(f"suffix_{n}").agg(
-            ((F.sum("label") + 1) / (F.count("*") + 2)).alias(f"f_rate_{n}"), F.log1p(F.count("*").cast("double")).alias(f"f_times_{n}"),
+        workspace.stage(whole.groupBy(f"suffix_{n}").agg(
+            ((F.sum(F.col("label") * F.col("times")) + 1) / (F.sum("times") + 2)).alias(f"f_rate_{n}"),
+            F.log1p(F.sum("times").cast("double")).alias(f"f_times_{n}"),
         ), "suffixes") for n in (1, 2)
     )
-    trees = GBTClassifier(featuresCol="f_vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=1)
-    arranged = workspace.stage(_with_suffixes(rows, suffixes).select("f_vector", "label"), "url_features")
-    return Model(None, trees.fit(arranged.coalesce(4).cache()), suffixes)
+    sample = _sample(counted, 0.0, sample_rows // 2).unionByName(_sample(counted, 1.0, sample_rows // 2))
+    rows = workspace.stage(lexical(sample), "sampled_urls")
+    taken = {r.label: r.n for r in rows.groupBy("label").agg(F.sum("times").alias("n")).collect()}
+    restored = F.when(F.col("label") == 1, classes[1.0] / taken[1.0]).otherwise(classes[0.0] / taken[0.0])
+    weighted = _with_suffixes(rows, suffixes).select("f_vector", "label", (F.col("times") * restored).alias("weight"))
+    trees = GBTClassifier(featuresCol="f_vector", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=1)
+    return Model(None, trees.fit(workspace.stage(weighted, "url_features").coalesce(4).cache()), suffixes)
+
+
+def _sample(counted: DataFrame, label: float, size: int) -> DataFrame:
+    """Different URLs of a class, least hash first."""
+    return counted.where(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(size)
 
 
 def judge(urls: DataFrame, rules: dict[str, str], model: Model, row_id: str = "page_id", url: str = "url") -> DataFrame:

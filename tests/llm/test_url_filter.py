@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +60,12 @@ def test_trees_learn_what_no_rule_says(spark):
 @pytest.mark.parametrize("labels,constant", [([], 0.0), ([("http://a.b/", 1)], 1.0), ([("http://a.b/", 0), (None, 0)], 0.0)])
 def test_too_few_labels(spark, labels, constant):
     assert url_filter.fit(spark.createDataFrame(labels, "url string, label int")).constant == constant
+
+
+def test_counts_of_all_labelled_urls(spark):
+    """Suffixes outside the sample are counted, and neither a hot URL nor a rare class is lost to it."""
+    rows = [("http://hot.com/", 1)] * 200 + [(f"http://b{i}.com/{i}", 1) for i in range(50)] + [("http://rare.org/", 0)] * 2
+    model = url_filter.fit(spark.createDataFrame(rows, "url string, label int"), sample_rows=10)
+    assert model.trees is not None
+    times = {r.suffix_2: round(math.expm1(r.f_times_2)) for r in model.suffixes[1].collect()}
+    assert times == {"hot.com": 200, "rare.org": 2, **{f"b{i}.com": 1 for i in range(50)}}
