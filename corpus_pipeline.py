@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, decontamination, near_copies, quality, suffix_dedup, workspace
+from clickloom.llm import bpe, decontamination, quality, simhash, suffix_dedup, workspace
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,21 +17,27 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.keep(docs, quality.fit(docs, labels))
 
 
+def _free_name(docs: DataFrame, name: str) -> str:
+    """The name, with underscores if a column has it already; like Spark, this doesn't regard case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies, once.
+    """One document of each group whose fingerprints of three-word shingles are linked by three bits or fewer.
 
-    Near copies share four fifths of their shingles of five words. A document is known by its id and the hash of its
-    text, so different texts of one id are judged each. Documents without an id stay.
+    The one with the smallest id stays, of several texts of that id the one with the smallest digest. A document is
+    known by its id and the digest of its text, so each text of an id is judged, and repeated rows go to one. Null
+    and empty texts share fingerprint zero and are one group. Documents without an id stay.
     """
-    name = "row_key"
-    while name in docs.columns:
-        name += "_"
-    keyed = docs.where("doc_id is not null").withColumn(name, near_copies.text_key())
-    texts = keyed.groupBy(F.col(name).alias("node")).agg(F.min("doc_id").alias("first_id"))
-    grouped = texts.join(near_copies.groups(docs), "node", "left")
-    first = grouped.groupBy(F.coalesce("component", "node")).agg(F.min(F.struct("first_id", "node")).alias("kept"))
-    first = first.select(F.col("kept.first_id").alias("doc_id"), F.col("kept.node").alias(name))
-    kept = keyed.join(first, ["doc_id", name], "left_semi").dropDuplicates(["doc_id", name])
+    name = _free_name(docs, "row_key")
+    key = F.struct(F.col("doc_id").alias("id"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest"))
+    keyed = docs.where("doc_id is not null").withColumn(name, key)
+    found = simhash.near_duplicates(keyed, doc_id=name, shingle_words=simhash.SHINGLE_WORDS, max_bits=simhash.MAX_BITS)
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = keyed.join(first, name, "left_semi").dropDuplicates([name])
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
@@ -46,9 +52,7 @@ def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def benchmark_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words less than a twentieth lies in windows of the benchmark."""
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.xxhash64("text").cast("string"))
-    name = "row_key"
-    while name in docs.columns:
-        name += "_"
+    name = _free_name(docs, "row_key")
     keyed = docs.withColumn(name, key)
     found = decontamination.matches(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id=name)
     marked = decontamination.contaminated(found).where("contaminated").select(F.col("doc_id").alias(name)).distinct()
