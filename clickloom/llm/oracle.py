@@ -69,3 +69,62 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place * 8 // n AS INTEGER)
   place - ((place * 8 // n) * n + 7) // 8 AS slot, CAST(NULL AS INTEGER) AS grown_shard
 FROM placed
 """
+
+#: A field as it enters a leaf's digest.
+_FIELD = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+
+def _merkle_levels(name: str, leaves: str) -> str:
+    """Recursive query of all nodes (g, level, pos, d, n) over ``leaves`` with (g, pos, d, n)."""
+    return f"""{name} AS (
+  SELECT g, 0 AS level, pos, d, n FROM {leaves}
+  UNION ALL
+  SELECT g, level + 1, pos // 3, sha256(string_agg(d, '' ORDER BY pos)), (any_value(n) + 2) // 3
+  FROM {name} WHERE n > 1 GROUP BY g, level, pos // 3
+)"""
+
+
+def _merkle_steps(nodes: str, leaves: str, key: str) -> str:
+    """Of each leaf ``key``, per level the digests before and after its ancestor in the run."""
+    return f"""SELECT l.{key}, a.level,
+    coalesce(string_agg(s.d, '' ORDER BY s.pos) FILTER (s.pos < a.pos), '') AS before,
+    coalesce(string_agg(s.d, '' ORDER BY s.pos) FILTER (s.pos > a.pos), '') AS after
+  FROM {leaves} l JOIN {nodes} a ON a.g = l.g AND a.n > 1 AND a.pos = l.pos // CAST(3 ** a.level AS BIGINT)
+  JOIN {nodes} s ON s.g = a.g AND s.level = a.level AND s.pos // 3 = a.pos // 3 GROUP BY l.{key}, a.level"""
+
+
+ORACLES["op13_merkle_manifest"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+docs AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce('s' || source, '') AS g, {_LEAF.format(text="text")} AS d,
+    {_LEAF.format(text="replace(text, chr(10), '')")} AS cut,
+    xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'),
+      lambda h: ('0x' || h)::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 2 = 0 AS touched
+  FROM documents, crc_table
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM docs
+),
+{_merkle_levels("nodes", "leaves")},
+tops AS (
+  SELECT g AS name, '' AS g, d, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+),
+{_merkle_levels("upper", "tops")},
+steps AS (
+  SELECT id, level, before, after FROM ({_merkle_steps("nodes", "leaves", "id")})
+  UNION ALL
+  SELECT id, 1000 + level, before, after FROM ({_merkle_steps("upper", "tops", "name")}) u JOIN leaves ON u.name = leaves.g
+),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY level) AS k FROM steps),
+folded AS (
+  SELECT id, 0 AS k, CASE WHEN touched THEN cut ELSE d END AS d FROM docs
+  UNION ALL
+  SELECT f.id, o.k, sha256(before || f.d || after) FROM folded f JOIN ordered o ON o.id = f.id AND o.k = f.k + 1
+),
+reached AS (SELECT id, max_by(d, k) AS folded_root FROM folded GROUP BY id),
+proofs AS (SELECT id, sha256(string_agg(before || after, '' ORDER BY k)) AS proof_sha256 FROM ordered GROUP BY id)
+SELECT doc_id, l.d AS leaf, t.d AS subroot, r.d AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+  folded_root = r.d AS verified
+FROM leaves l JOIN tops t ON t.name = l.g JOIN reached USING (id) LEFT JOIN proofs USING (id), (SELECT d FROM upper WHERE n = 1) r
+"""

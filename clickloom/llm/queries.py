@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    bpe, decontamination, embedding_dedup, ngram_lm, quality, sharding, simhash, suffix_dedup, token_files, url_filter,
+    bpe, decontamination, embedding_dedup, merkle, ngram_lm, quality, sharding, simhash, suffix_dedup, token_files, url_filter,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,22 @@ def op2_boosted_url_filter(spark, sf_dir):
 @query
 def op6_lattice_near_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    """Rows whose id has an even checksum are tampered with after the manifest is built: their line ends go."""
+    def leaf(text):
+        return merkle.digest([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text])
+
+    touched = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", leaf(F.col("text")).alias("leaf"),
+        F.when(touched, leaf(F.replace("text", F.lit("\n"), F.lit("")))).alias("tampered"),
+    )
+    made = merkle.manifest(rows, "source", "doc_id", "leaf")
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return made.proofs().select(
+        "doc_id", "leaf", "subroot", F.lit(made.root).cast("string").alias("root"), merkle.path_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))

@@ -26,4 +26,4 @@ def test_query_as_sql(spark, small, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].partition("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].partition("_")[0]) for n in QUERIES) == list(range(1, 14))
