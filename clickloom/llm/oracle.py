@@ -128,3 +128,48 @@ SELECT doc_id, l.d AS leaf, t.d AS subroot, r.d AS root, coalesce(proof_sha256,
   folded_root = r.d AS verified
 FROM leaves l JOIN tops t ON t.name = l.g JOIN reached USING (id) LEFT JOIN proofs USING (id), (SELECT d FROM upper WHERE n = 1) r
 """
+
+#: Bits of the filters.
+_BITS = "(VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16))"
+
+ORACLES["op11_filter_interaction_audit"] = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id FROM documents
+),
+words AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM texts),
+marked AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, CAST(len(w) < 100 AS INTEGER) + 2 * CAST(100 * len(list_distinct(w)) < 80 * len(w) AS INTEGER)
+    + 4 * CAST(100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) AS INTEGER)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER) + 16 * CAST(coalesce(first_id < words.doc_id, false) AS INTEGER) AS mask,
+    coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM words LEFT JOIN marked ON marked.doc_id = words.doc_id
+),
+bits(letter, bit) AS {_BITS},
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order FROM bits a, bits b, bits c, bits d, bits e
+  WHERE len(list_distinct([a.letter, b.letter, c.letter, d.letter, e.letter])) = 5
+),
+steps AS (
+  SELECT filter_order, step, letter, bit,
+    (SELECT coalesce(sum(p.bit), 0) FROM bits p WHERE contains(filter_order[:step - 1], p.letter)) AS applied
+  FROM orders, range(1, 6) AS r(step) JOIN bits ON letter = filter_order[step]
+),
+cells AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM judged GROUP BY part, mask),
+counted AS (
+  SELECT part, filter_order, step, letter,
+    sum(CASE WHEN (mask & (applied | bit)) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN (mask & bit) <> 0 AND (mask & applied) = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN (mask & bit) <> 0 AND (mask & applied) <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN (mask & bit) <> 0 AND (mask & applied) = 0 THEN g ELSE 0 END) AS good_lost,
+    sum(CASE WHEN (mask & bit) <> 0 AND (mask & applied) = 0 THEN x ELSE 0 END) AS toxic_lost
+  FROM (SELECT filter_order, step, letter, CAST(bit AS BIGINT) AS bit, CAST(applied AS BIGINT) AS applied FROM steps),
+    (SELECT part, CAST(mask AS BIGINT) AS mask, n, g, x FROM cells)
+  GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted
+"""
