@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    bpe, decontamination, embedding_dedup, filter_audit, merkle, ngram_lm, quality, sharding, simhash, suffix_dedup, token_files,
-    url_filter,
+    bpe, decontamination, embedding_dedup, filter_audit, merkle, multi_index, ngram_lm, quality, sharding, simhash, suffix_dedup,
+    token_files, url_filter,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +115,11 @@ def op11_filter_interaction_audit(spark, sf_dir):
     return filter_audit.audit(filter_audit.cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+@query
+def op12_inverted_multi_index(spark, sf_dir):
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op13_merkle_manifest(spark, sf_dir):
     """Rows whose id has an even checksum are tampered with after the manifest is built: their line ends go."""
