@@ -231,8 +231,8 @@ ORACLES = {
             CASE WHEN event_id % 12 IN (0, 1, 2, 3, 4, 5, 8) THEN action END AS action
         FROM clicks"""),
     "framed_records": _with("clicks", """
-        SELECT event_id, CASE WHEN event_id % 7 < 6 THEN user_id ELSE 'u_bot' END AS user_id,
-            CASE WHEN event_id % 7 < 6 THEN 'emitted' ELSE 'bot' END AS status
+        SELECT event_id, CASE WHEN event_id % 12 < 11 THEN user_id ELSE 'u_bot' END AS user_id,
+            CASE WHEN event_id % 12 < 11 THEN 'emitted' ELSE 'bot' END AS status
         FROM clicks"""),
     "validate_fields": _with("clicks", f"""
         SELECT event_id,

@@ -142,7 +142,9 @@ def framed_records(spark, sf_dir):
     invalid = F.lit(base.replace("%U", "u_bad").replace("%A", "dance").replace("%F", "false"))
     variants = [
         F.concat(F.lit("2024-01-01 INFO "), good), F.concat(F.lit("\ufeff"), good), F.concat(bot, good), F.concat(invalid, F.lit(" "), good),
-        F.concat(good, bot), F.concat(F.lit("{} } "), good), F.concat(bot, invalid),
+        F.concat(good, bot), F.concat(F.lit("{} } "), good), F.concat(bot, F.lit("]"), good), F.concat(bot, F.lit(' "junk" '), good),
+        F.concat(bot, F.lit(',"x",'), good), F.concat(F.lit('{"raw":"}{"}'), bot, F.lit("["), good, F.lit("]")),
+        F.concat(bot, F.lit(' {"payload":{"a":"}"}} {"b":"\\"{"}'), good), F.concat(bot, invalid),
     ]
     line = F.get(F.array(*variants), (F.col("event_id") % len(variants)).cast("int"))
     return raw_log.type_events(rows.select("event_id", line.alias("line"))).select("event_id", "user_id", "status")

@@ -24,65 +24,69 @@ def parse_object(line: Column) -> Column:
     return F.when(text.startswith("{"), parsed)
 
 
-def is_framed(line: Column, parsed: Column) -> Column:
-    """Whether a line may hold an object besides the one it starts with, or one after something else.
-
-    A closing brace that is followed by anything but a comma and a name, or another closing bracket, may end an object.
-    The test may hit the text of a good line, which then costs a scan and gives the same object.
-    """
-    text = stripped(line)
-    return text.contains("{") & (parsed.isNull() | ~text.startswith("{") | text.rlike(r"\}\s*(,\s*)*[^\s,}\]\"]"))
+def may_hold_more(line: Column) -> Column:
+    """Whether a brace opens after one has closed, as it must where another object follows the first."""
+    closed = F.instr(line, "}")
+    return (closed > 0) & F.contains(F.substring(line, closed, F.length(line)), F.lit("{"))
 
 
 def framed_objects(line: Column) -> Column:
     """VARIANTs of all objects on a line, whatever stands before, between and after them.
 
-    Text is cut where the braces balance, once with regard to quotes and once without, as a stray quote or brace
-    defeats one of the two. What is left at the end goes through the repair. The scan is a fold over the text's braces and
-    quotes and meant for the few lines that need it.
+    One pass over the line cuts it where the braces balance, both with regard to quotes and without, as a stray quote or
+    brace defeats one of the two; objects cut with regard to quotes come first. What is left open at the end goes
+    through the repair.
     """
-    text = stripped(line)
-    pieces = F.concat(_balanced(text, quotes=True), _balanced(text, quotes=False))
+    pieces = F.array_distinct(_balanced(stripped(line)))
     # A brace alone at the end would be repaired to an empty object.
     return F.filter(F.transform(F.filter(pieces, lambda p: p != "{"), parse_object), lambda v: v.isNotNull())
 
 
-# Braces, quotes, escaped quotes, and what lies between them.
-_TOKENS = r'(?s)[^{}"\\]+|\\["\\]|.'
+# Text up to and with a brace or quote. Strings without braces and backslashes are passed over whole: two quotes change
+# nothing, whether they open and close a string or close one and open the next.
+_TOKENS = r'(?s)(?:[^{}"\\]++|\\.?|"[^{}"\\]*+")*+[{}"]?'
 
 
-def _balanced(text: Column, quotes: bool) -> Column:
-    """Pieces of a text that end where as many braces are closed as opened, and the rest if a brace is open.
+def _balanced(text: Column) -> Column:
+    """Pieces of a text from a brace that opens outside of all to the one that closes it, or to the end.
 
-    With regard to quotes, what stands before an object is dropped and a closing brace before it means nothing.
+    A fold over the tokens with the depth by either reading. With regard to quotes, a closing brace outside of all means
+    nothing; without, it is made good by the next one that opens.
     """
-    state = "struct<depth:int,quoted:boolean,start:int,at:int,found:array<string>>"
-    first = F.struct(
-        F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit(1).alias("start"), F.lit(1).alias("at"),
-        F.array().cast("array<string>").alias("found"),
-    ).cast(state)
+    state = (
+        "struct<at:int,quoted:boolean,strict:struct<depth:int,start:int,found:array<string>>,"
+        "plain:struct<depth:int,start:int,found:array<string>>>"
+    )
+
+    def followed(reading: Column, at: Column, opens: Column, closes: Column) -> Column:
+        """A reading after a token that ends before ``at`` with a brace that opens or closes, or with none."""
+        before = reading["depth"]
+        depth = F.when(opens, before + 1).when(closes, before - 1).otherwise(before)
+        closes = (depth == 0) & (before != 0)
+        piece = F.substring(text, reading["start"], at - reading["start"])
+        return F.struct(
+            depth.alias("depth"), F.when((before == 0) & (depth == 1), at - 1).otherwise(reading["start"]).alias("start"),
+            F.when(closes, F.array_append(reading["found"], piece)).otherwise(reading["found"]).alias("found"),
+        )
 
     def step(s: Column, token: Column) -> Column:
-        turn = F.when(token == "{", 1).when(token == "}", -1).otherwise(0)
-        depth = s["depth"] + turn
-        if quotes:
-            depth = F.when(s["quoted"], s["depth"]).otherwise(F.greatest(depth, F.lit(0)))
-            start = F.when((s["depth"] == 0) & (depth == 1), s["at"]).otherwise(s["start"])
-            closes = (depth == 0) & (s["depth"] > 0)
-            quoted = F.when((s["depth"] > 0) & (token == '"'), ~s["quoted"]).otherwise(s["quoted"])
-        else:
-            start, closes, quoted = s["start"], (depth == 0) & (turn != 0), F.lit(False)
-        after = s["at"] + F.length(token)
-        piece = F.substring(text, start, after - start)
+        at, mark = s["at"] + F.length(token), F.right(token, F.lit(1))
+        opens, closes, inside, free = mark == "{", mark == "}", s["strict"]["depth"] > 0, ~s["quoted"]
         return F.struct(
-            depth.alias("depth"), quoted.alias("quoted"), F.when(closes, after).otherwise(start).alias("start"), after.alias("at"),
-            F.when(closes, F.concat(s["found"], F.array(piece))).otherwise(s["found"]).alias("found"),
+            at.alias("at"), (s["quoted"] != ((mark == '"') & inside)).alias("quoted"),
+            followed(s["strict"], at, opens & free, closes & free & inside).alias("strict"),
+            followed(s["plain"], at, opens, closes).alias("plain"),
         ).cast(state)
 
-    def finish(s: Column) -> Column:
-        return F.when(s["depth"] != 0, F.concat(s["found"], F.array(F.substring(text, s["start"], F.length(text))))).otherwise(s["found"])
+    def finish(reading: Column) -> Column:
+        rest = F.substring(text, reading["start"], F.length(text))
+        return F.when(reading["depth"] != 0, F.array_append(reading["found"], rest)).otherwise(reading["found"])
 
-    return F.aggregate(F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0)), first, step, finish)
+    none = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("start"), F.array().cast("array<string>").alias("found"))
+    first = F.struct(F.lit(1).alias("at"), F.lit(False).alias("quoted"), none.alias("strict"), none.alias("plain")).cast(state)
+    return F.aggregate(
+        F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0)), first, step, lambda s: F.concat(finish(s["strict"]), finish(s["plain"])),
+    )
 
 
 def type_of(document: Column, name: str) -> Column:

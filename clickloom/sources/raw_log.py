@@ -34,15 +34,34 @@ def _flag_type(document: Column) -> Column:
     return F.coalesce(json_text.type_of(document, "is_bot_flag"), F.lit("VOID"))
 
 
-def _first_emitted(line: Column, min_dwell_ms: int, bot_pattern: str | None) -> Column:
-    """Of the objects on a line the first that is emitted, else the first."""
-    def emitted(document: Column) -> Column:
-        record = F.try_variant_get(document, "$", schemas.JUDGED_RECORD.simpleString())
-        flag = json_text.truthy(record["is_bot_flag"], _flag_type(document))
-        return disposition(_has_only_raw(document), _ids_are_text(document), min_dwell_ms, bot_pattern, record, flag) == "emitted"
+def _judged(document: Column, record: T.StructType) -> Column:
+    """What the disposition needs to know of a document, and its record."""
+    return F.struct(
+        _flag_type(document).alias("flag_type"),
+        _ids_are_text(document).alias("ids_are_text"),
+        (document.isNull() | _has_only_raw(document)).alias("corrupt"),
+        F.try_variant_get(document, "$", record.simpleString()).alias("record"),
+    )
+
+
+def _status(judged: Column, min_dwell_ms: int, bot_pattern: str | None) -> Column:
+    record = judged["record"]
+    flag = json_text.truthy(record["is_bot_flag"], judged["flag_type"])
+    return disposition(judged["corrupt"], judged["ids_are_text"], min_dwell_ms, bot_pattern, record, flag)
+
 
-    found = json_text.framed_objects(line)
-    return F.coalesce(F.get(F.filter(found, emitted), F.lit(0)), F.get(found, F.lit(0)))
+def _framed(line: Column, first: Column, record: T.StructType, min_dwell_ms: int, bot_pattern: str | None) -> Column:
+    """Of the objects on a line the first that is emitted; where the line starts with none, else the first of all."""
+    def emitted(judged: Column) -> Column:
+        return _status(judged, min_dwell_ms, bot_pattern) == "emitted"
+
+    def chosen(found: Column) -> Column:
+        fallback = F.when(first["missing"], F.get(found, F.lit(0)))
+        return F.coalesce(F.get(F.filter(found, emitted), F.lit(0)), fallback)
+
+    objects = F.transform(json_text.framed_objects(line), lambda document: _judged(document, record))
+    # A list of one element binds the objects, so that they are looked for once.
+    return F.get(F.transform(F.array(objects), chosen), F.lit(0))
 
 
 def type_events(
@@ -53,28 +72,27 @@ def type_events(
 ) -> DataFrame:
     """Typed event columns and status for each line of column ``line``; other columns are kept.
 
-    A good line is parsed once. A line with text around its object, or with several objects, is cut into its
-    objects, and the first one that is emitted counts. The typed record accepts any JSON type for text fields, so
-    the type tests on the ids and the timestamp look at the document itself. ``record`` names the fields to read;
-    what it leaves out is not extracted.
+    A line is parsed once, as the object that it starts with. Only if that one isn't emitted and another may follow, or if
+    there is none, the line is cut into its objects, and the first one that is emitted counts. The typed record accepts
+    any JSON type for text fields, so the type tests on the ids and the timestamp look at the document itself. ``record``
+    names the fields to read; what it leaves out is not extracted.
     """
     kept = [c for c in lines.columns if c != "line"]
-    once = lines.withColumn("parsed", json_text.parse_object(F.col("line")))
-    document = F.when(
-        json_text.is_framed(F.col("line"), F.col("parsed")), _first_emitted(F.col("line"), min_dwell_ms, bot_pattern),
-    ).otherwise(F.col("parsed"))
-    found = F.col("document")
-    # The record is unfolded by a generator, and a filter on its fields or on the status stays above that.
+    parsed = lines.withColumn("parsed", json_text.parse_object(F.col("line")))
+    # Records are unfolded by generators, and a filter on their fields or on the status stays above those.
     # Pushed below, the filter would extract the record once more for every field it looks at.
-    flat = once.withColumn("document", document).select(
-        *kept,
-        _flag_type(found).alias("flag_type"),
-        _ids_are_text(found).alias("ids_are_text"),
-        (found.isNull() | _has_only_raw(found)).alias("corrupt"),
-        (json_text.stripped(F.col("line")) == "").alias("blank"),
-        F.xxhash64("line").alias("line_hash"),
-        F.inline(F.array(F.try_variant_get(found, "$", record.simpleString()))),
-    ).withColumn("is_bot_flag", json_text.truthy(F.col("is_bot_flag"), F.col("flag_type")))
+    once = parsed.select(
+        *kept, "line", F.col("parsed").isNull().alias("missing"), F.inline(F.array(_judged(F.col("parsed"), record))),
+    )
+    own = F.struct("flag_type", "ids_are_text", "corrupt", "record")
+    line, first = F.col("line"), F.struct("missing")
+    rejected = _status(own, min_dwell_ms, bot_pattern) != "emitted"
+    more = F.when(F.col("missing"), F.contains(line, F.lit("{"))).otherwise(json_text.may_hold_more(line))
+    found = F.when(rejected & more, F.coalesce(_framed(line, first, record, min_dwell_ms, bot_pattern), own)).otherwise(own)
+    flat = once.select(
+        *kept, (json_text.stripped(line) == "").alias("blank"), F.xxhash64("line").alias("line_hash"), F.inline(F.array(found)),
+    ).select(*kept, "blank", "line_hash", "flag_type", "ids_are_text", "corrupt", "record.*")
+    flat = flat.withColumn("is_bot_flag", json_text.truthy(F.col("is_bot_flag"), F.col("flag_type")))
     if "timestamp" in record.names:
         flat = flat.withColumn("ts", F.try_to_timestamp(F.col("timestamp")))
     if "event_order" in record.names:

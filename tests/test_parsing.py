@@ -56,6 +56,18 @@ INVALID = json.dumps(record(user_id="u_bad", action="dance"))
     ('{"raw": "}{"}' + GOOD, "u_1"),
     ("x " + json.dumps(record(payload={"query": 'a } " { \\\\'})) + "!", "u_1"),
     ("x" + GOOD[:-1], "u_1"),
+    (BOT + "]" + GOOD, "u_1"),
+    (BOT + ' "junk" ' + GOOD, "u_1"),
+    (BOT + ',"x",' + GOOD, "u_1"),
+    ("[" + BOT + "," + INVALID + "," + GOOD + "]", "u_1"),
+    (BOT + "}}" + GOOD, "u_1"),
+    (BOT + '"' + GOOD, "u_1"),
+    (BOT + "{" + GOOD, None),
+    (json.dumps(record(user_id="u_bot", is_bot_flag=True, payload={"query": 'a \\" } { \\\\'})) + "]" + GOOD, "u_1"),
+    (json.dumps(record(user_id="u_bot", is_bot_flag=True, payload={"query": "x", "meta": record(user_id="u_in")})), None),
+    (BOT + GOOD[:-1], "u_1"),
+    (BOT + "\\", None),
+    (BOT * 500 + GOOD, "u_1"),
     (BOT + INVALID, None),
     ("abc", None),
     ("{}} {", None),
