@@ -370,3 +370,6 @@ ORACLES = {
             (SELECT count(*) FROM featured WHERE avg_inter_event_sec IS NOT NULL) AS model_rows,
             'Feature engineering complete.' AS status"""),
 }
+
+# Pretty-printed or not, the events are the same.
+ORACLES["spanning_records"] = ORACLES["raw_scan"]

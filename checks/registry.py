@@ -104,6 +104,21 @@ def raw_scan(spark, sf_dir):
     )
 
 
+@query
+def spanning_records(spark, sf_dir):
+    """The events pretty-printed over many lines, read back as one object each."""
+    path = storage.scratch_dir(spark, "pretty_log")
+    rows = event_table.clickstream(spark, sf_dir)
+    bad = F.to_json(F.struct(F.lit(True).alias("_corrupt"), F.lit("}{broken_json}").alias("raw")), {"pretty": "true"})
+    rows.select(F.when(F.col("corrupt"), bad).otherwise(event_table.as_json(rows, {"pretty": "true"}))).write.options(
+        maxRecordsPerFile=500_000).text(path)
+    return raw_log.read_events(spark, path, spanning=True).select(
+        F.when(F.col("status") != "corrupt", F.col("event_order")).alias("event_order"), "timestamp", "user_id", "session_id", "action",
+        F.col("payload.query").alias("query"), F.col("payload.dwell_time_ms").alias("dwell_time_ms"),
+        F.col("client.user_agent").alias("user_agent"), F.col("client.country").alias("country"), "is_bot_flag", "status",
+    )
+
+
 @query
 def parse_repair(spark, sf_dir):
     """Lines cut, extended and garbled by rule."""

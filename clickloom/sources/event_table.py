@@ -76,9 +76,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns(owned).withColumn("status", disposition(F.col("corrupt"), F.lit(True))).drop("corrupt")
 
 
-def as_json(rows: DataFrame) -> Column:
+def as_json(rows: DataFrame, options: dict[str, str] | None = None) -> Column:
     """JSON text of a clickstream row."""
-    return F.to_json(F.struct(*[c for c in rows.columns if c not in ("event_id", "corrupt", "ts")]))
+    return F.to_json(F.struct(*[c for c in rows.columns if c not in ("event_id", "corrupt", "ts")]), options)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

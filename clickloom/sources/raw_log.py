@@ -8,6 +8,8 @@ from clickloom import constants as C
 from clickloom import schemas
 from clickloom.functions import json_text
 from clickloom.operators.cleaning import disposition
+from clickloom.sources.spanning import read_lines as spanning_lines
+
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines of all files below a directory.
@@ -104,5 +106,7 @@ def type_events(
     return flat.select(*kept, *columns, status.alias("status"))
 
 
-def read_events(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
-    return type_events(read_lines(spark, path), **options)
+def read_events(spark: SparkSession, path: str | list[str], spanning: bool = False, **options) -> DataFrame:
+    """Typed events of a log with an object per line, or with ``spanning`` with objects that may span lines."""
+    lines = spanning_lines(spark, path) if spanning else read_lines(spark, path)
+    return type_events(lines, **options)
