@@ -1,10 +1,13 @@
-"""64-bit polynomial hashes of many byte strings at once."""
+"""64-bit hashes of many byte strings at once."""
 
 import numpy as np
+import xxhash
 
 #: Odd multiplier of the polynomial and its inverse modulo 2^64.
 MULTIPLIER = 0x9E3779B97F4A7C15
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
+#: Longer strings are hashed by XXH64: a polynomial modulo 2^64 is the same for some long strings of two letters.
+LONG = 32
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -34,7 +37,7 @@ class Polynomial:
     """Hashes of any substrings of one byte block, equal for equal strings wherever they stand."""
 
     def __init__(self, data: np.ndarray):
-        n = len(data)
+        self.data, n = data, len(data)
         terms = data.astype(np.uint64)
         terms += np.uint64(1)
         terms *= _table(INVERSE, n)
@@ -46,7 +49,12 @@ class Polynomial:
         """Hash of each [start, end); the length enters too."""
         h = (self.sums[ends] - self.sums[starts]) * self.scale[starts]
         h ^= (ends - starts).astype(np.uint64) << np.uint64(48)
-        return mixed(h)
+        h = mixed(h)
+        long = np.flatnonzero(ends - starts > LONG)
+        if len(long):
+            view, digest = memoryview(np.ascontiguousarray(self.data)), xxhash.xxh64_intdigest
+            h[long] = [digest(view[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+        return h
 
     def rolling(self, width: int) -> np.ndarray:
         """Hash of every substring of that width, by start."""

@@ -47,6 +47,18 @@ def test_spans_cover_the_hits(frames):
         assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
 
 
+def test_long_words_of_two_letters(spark):
+    """Two Thue-Morse words, which polynomials modulo a power of two can't tell apart."""
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    for size in (1024, 2048):
+        docs = spark.createDataFrame([(1, f"x {word[:size]} y"), (2, f"x {other[:size]} y")], "doc_id long, text string")
+        items = spark.createDataFrame([(7, word[:size])], "item_id long, text string")
+        assert {r.doc_id: r.n_hit for r in decontamination.matches(docs, items).collect()} == {1: 1, 2: 0}
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([
         (1, "x alpha beta gamma x"), (2, "x alpha x beta gamma"), (3, "gamma beta alpha"), (4, "alpha x x x x beta gamma"),
