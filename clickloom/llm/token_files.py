@@ -47,12 +47,14 @@ class WordEncoder:
     comma or full stop after a letter or digit becomes a word of its own, as in the tokenizer's pattern, so that
     there are fewer different words. Many new words of letters go through the library together: each ends with a token
     that marks an end, which tells their ids apart. Words of letters and other characters are cut into the pieces of
-    the pattern. All others go through the library one by one. Special tokens in a text are ordinary text.
+    the pattern. All others go through the library one by one. A text that may hold an added token, such as the one
+    for the end of a text, goes through the library whole.
     """
 
     def __init__(self, rules: str):
         self.tokenizer = Tokenizer.from_str(rules)
-        self.tokenizer.encode_special_tokens = True
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.may_hold_added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE).search
         vocabulary = self.tokenizer.get_vocab()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -60,6 +62,17 @@ class WordEncoder:
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        whole = {i: t for i, t in enumerate(texts) if self.may_hold_added(t)}
+        if whole:
+            plain = iter(self._words([t for i, t in enumerate(texts) if i not in whole]))
+            return [self._ids(whole[i]) if i in whole else next(plain) for i in range(len(texts))]
+        return self._words(texts)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _words(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without added tokens, word by word."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
         # Other white space stays inside words, where the library drops it.

@@ -14,14 +14,12 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def test_words_as_whole_texts(tokenizer):
     texts = [t or "" for _, t in EDGE_TEXTS] + [
-        "a\x1cb c d　e", "É É H̱ H ̱x", "ΑΣ ΑΣΑ İ K", "it's 'S don't9x 12 !?", "<|endoftext|>x <|startoftext|>", " lead  and\ttrail ",
+        "a\x1cb c d　e", "É É H̱ H ̱x", "ΑΣ ΑΣΑ İ K", "it's 'S don't9x 12 !?", "<|endoftext|>x <|startoftext|>", "a <|ENDOFTEXT|> b<|endoftext|>c", "<|endof text|>", " lead  and\ttrail ",
         "́x ́ y", "漢字 😀👍🏽", "a., b.. c ., d_, e5, f. g . , h²,. ¼. µ, 'S, it'S. ", "Ünder, ÀÉ. \xa0x\xa0, y\x85. z", "", " ", ", . ",
     ]
     encoder = token_files.WordEncoder(open(PATH, encoding="utf-8").read())
