@@ -59,7 +59,8 @@ sized AS (
   FROM documents, crc_table
 ),
 ranked AS (
-  SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY shuffled, doc_id, text_crc32, size) - 0.5::DOUBLE)
+  SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY shuffled, doc_id, text_crc32, size)
+      - ('0x' || substr(md5('7:' || stratum), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE)
     / count(*) OVER (PARTITION BY stratum) AS fraction FROM sized
 ),
 placed AS (

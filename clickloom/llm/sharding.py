@@ -1,7 +1,8 @@
 """Shards that all have the corpus' mixture of sources, by proportional stratified interleaving.
 
-Rows of a source are ordered by a seeded hash of their id. The nth of m rows gets the fraction (n - 1/2) / m; over all
-sources the rows are ordered by fraction and cut into equal runs. A run then has its share of every source, give or
+Rows of a source are ordered by a seeded hash of their id. The nth of m rows gets the fraction (n - u) / m, where u is
+drawn for the source from [0, 1), so that sources of few rows are spread too; over all sources the rows are ordered by
+fraction and cut into equal runs. A run then has its share of every source, give or
 take a row. Both orders are distributed: rows fall into buckets of bounded size by hash or by fraction, are numbered
 within them, and add the sizes of the buckets before.
 """
@@ -49,7 +50,9 @@ def interleave(docs: DataFrame, shards: int = 8, seed: int = SEED, doc_id: str =
     ties = ["shuffled", "doc_id", "text_crc32", "size"]
     ranked = _numbered(rows.withColumn("bucket", by_hash), ["stratum"], "bucket", ties, "rank")
     sizes = rows.groupBy("stratum").agg(F.count("*").alias("rows"))
-    fraction = (F.col("rank") - 0.5) / F.col("rows")
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col("stratum")).cast("binary"))
+    offset = F.conv(F.substring(drawn, 1, 8), 16, 10).cast("double") / (1 << 32)
+    fraction = (F.col("rank") - offset) / F.col("rows")
     spread = workspace.stage(ranked.join(sizes, "stratum").withColumn("fraction", fraction), "fractions")
     slab = F.least(F.floor(F.col("fraction") * buckets), F.lit(buckets - 1))
     placed = _numbered(

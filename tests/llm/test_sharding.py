@@ -31,6 +31,15 @@ def test_every_shard_has_the_mixture(spark, bucket_rows):
     assert whole == {(r.doc_id, r.shard, r.slot) for r in found}
 
 
+@pytest.mark.parametrize("bucket_rows", [20_000, 50])
+def test_sources_of_one_row_are_spread(spark, bucket_rows):
+    rows = [(i, "x", "big") for i in range(800)] + [(1000 + i, "x", f"s{i}") for i in range(200)]
+    found = sharding.interleave(spark.createDataFrame(rows, "doc_id long, text string, source string"), 8, bucket_rows=bucket_rows).collect()
+    checked(found, 8)
+    small = Counter(r.shard for r in found if r.source != "big")
+    assert len(small) == 8 and max(small.values()) <= 3 * 200 / 8
+
+
 def test_seed_deals_anew(spark):
     frame = spark.createDataFrame([(i, "x", "s") for i in range(100)], "doc_id long, text string, source string")
     one, two = ({r.doc_id: r.shard for r in sharding.interleave(frame, 4, seed=s).collect()} for s in (1, 2))
