@@ -1,7 +1,6 @@
 """Language-model scores by stupid backoff, with counts over a whole corpus.
 
-S(w | v) = c(v w) / c(v) if the corpus has the pair at least ``MIN_PAIR`` times, else ``BACKOFF`` * c(w) / N; a first
-word has c(w) / N. The count tables are partitioned by the hash of the n-gram. Documents are dealt into blocks; a block
+S(w | v) = c(v w) / c(v) if the corpus has the pair, else ``BACKOFF`` * c(w) / N; a first word has c(w) / N. The count tables are partitioned by the hash of the n-gram. Documents are dealt into blocks; a block
 lists its different n-grams once for each hash range, which is what is shuffled, and gets the totals back that differ
 from its own counts. So a frequent n-gram costs a row entry per block, not per occurrence.
 """
@@ -15,8 +14,8 @@ from clickloom.llm import blocks, decontamination, hashing, workspace
 
 #: Factor for each step back to a shorter history.
 BACKOFF = 0.4
-#: Pairs seen less often are not in the table.
-MIN_PAIR = 2
+#: Pairs seen less often count as not seen.
+MIN_PAIR = 1
 #: Text bytes of a block, on average.
 BLOCK_BYTES = 4 << 20
 #: Documents of a block that are worked on at a time have so many bytes.

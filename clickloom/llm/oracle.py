@@ -32,7 +32,7 @@ WITH words AS (
   FROM (SELECT doc_id, {_WORDS} AS w FROM documents), unnest(range(1, len(w) + 1)) AS r(i)
 ),
 singles AS (SELECT word, count(*) AS n, sum(count(*)) OVER () AS total FROM words GROUP BY word),
-pairs AS (SELECT before, word, count(*) AS n FROM words WHERE before IS NOT NULL GROUP BY before, word HAVING count(*) >= 2),
+pairs AS (SELECT before, word, count(*) AS n FROM words WHERE before IS NOT NULL GROUP BY before, word),
 scored AS (
   SELECT doc_id, CASE WHEN i = 1 THEN s.n / s.total WHEN p.n IS NOT NULL THEN p.n / b.n ELSE 0.4::DOUBLE * s.n / s.total END AS s
   FROM words JOIN singles s USING (word) LEFT JOIN singles b ON b.word = words.before

@@ -20,7 +20,7 @@ def expected(docs, corpus):
         words, score = brute.hit_words(text), 0.0
         for n, word in enumerate(words):
             alone = single[word] / total if single[word] else 1 / (total + 1)
-            if n and pair[words[n - 1], word] >= 2:
+            if n and pair[words[n - 1], word]:
                 score += math.log10(pair[words[n - 1], word] / single[words[n - 1]])
             else:
                 score += math.log10(alone * (0.4 if n else 1))
