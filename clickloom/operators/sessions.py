@@ -58,21 +58,32 @@ def session_features(events: DataFrame, source: str = "raw") -> DataFrame:
     )
 
 
-def event_gaps(events: DataFrame) -> DataFrame:
+#: Seconds of a session that one window sees at most.
+SLAB_SECONDS = 86_400
+
+
+def event_gaps(events: DataFrame, slab_seconds: int = SLAB_SECONDS) -> DataFrame:
     """Gap to the previous event, one row per distinct second of a session with the events it stands for.
 
-    Events of the same second have gap 0 among themselves, so they are counted first. The window then
-    sees at most one row per second a session lasts, however many events it has.
+    Events of the same second have gap 0 among themselves, so they are counted first. A session is cut into slabs of
+    time, and the window sees one of them, so a session that never ends is many tasks. The first second of a slab follows
+    the last one of the slab before, which a second window finds among one row per slab.
     """
     per_second = (
         session_events(events)
         .select(*SESSION, seconds().alias("second"))
         .groupBy(*SESSION, "second")
         .agg(F.count(F.lit(1)).alias("n_events"))
+        .withColumn("slab", F.floor(F.col("second") / slab_seconds))
     )
-    previous = F.lag("second", 1).over(Window.partitionBy(*SESSION).orderBy("second"))
-    return per_second.withColumn("previous_second", previous).withColumn(
-        "gap_sec", F.col("second") - F.col("previous_second")
+    inside = F.lag("second", 1).over(Window.partitionBy(*SESSION, "slab").orderBy("second"))
+    last = per_second.groupBy(*SESSION, "slab").agg(F.max("second").alias("last"))
+    before = F.lag("last", 1).over(Window.partitionBy(*SESSION).orderBy("slab"))
+    ahead = last.withColumn("before", before).drop("last")
+    rows = per_second.withColumn("inside", inside).join(ahead, [*SESSION, "slab"], "left")
+    previous = F.coalesce("inside", "before")
+    return rows.select(
+        *SESSION, "second", "n_events", previous.alias("previous_second"), (F.col("second") - previous).alias("gap_sec"),
     )
 
 

@@ -45,6 +45,20 @@ def test_rows_are_reduced_before_the_first_shuffle(events, build):
     assert "partial_" in below
 
 
+def test_a_session_of_a_year_is_many_tasks(spark):
+    """The window over seconds sees a slab of a session; the one over sessions sees a row per slab."""
+    hours = spark.range(365 * 24).select(
+        F.substring(F.concat(F.lit("u"), "id"), 1, 1).alias("user_id"), F.substring(F.concat(F.lit("s"), "id"), 1, 1).alias("session_id"),
+        F.timestamp_seconds(F.col("id") * 3600).alias("ts"),
+    )
+    found = sessions.event_gaps(hours)
+    text = plan(found)
+    assert re.search(r"Window \[lag\(second[^\n]*\[user_id[^\n]*session_id[^\n]*slab[^\n]*\], \[second", text)
+    assert found.where("gap_sec = 3600").count() == 365 * 24 - 1
+    slabs = found.select(F.floor(F.col("second") / sessions.SLAB_SECONDS).alias("slab"))
+    assert slabs.groupBy("slab").count().agg(F.max("count")).first()[0] == 24
+
+
 def test_features_use_hash_aggregates_only(events):
     text = plan(features.feature_table(events))
     assert "SortAggregate" not in text and "Sort [" not in text and "Join" not in text

@@ -63,6 +63,18 @@ def test_deep_clicks(typed, action, dwell, counted):
     assert row.n_deep_clicks == counted
 
 
+@pytest.mark.parametrize("slab_seconds", [1, 7, 60, 86_400])
+def test_gaps_across_slabs(typed, slab_seconds):
+    """Whatever the slabs, with times before 1970, empty slabs between and events without a time."""
+    times = ["1969-12-31T23:59:50", "1969-12-31T23:59:59", "1970-01-01T00:00:00", "1970-01-01T00:00:00", "1970-01-01T00:00:06", "1970-01-09T00:00:00", "?"]
+    events = typed(*[record(timestamp=t) for t in times], record(session_id="s_2", timestamp=times[5]))
+    rows = sessions.event_gaps(events, slab_seconds).orderBy("session_id", "second").collect()
+    assert [(r.second, r.n_events, r.previous_second, r.gap_sec) for r in rows] == [
+        (None, 1, None, None), (-10, 1, None, None), (-1, 1, -10, 9), (0, 2, -1, 1), (6, 1, 0, 6), (691200, 1, 6, 691194),
+        (691200, 1, None, None),
+    ]
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(
     st.tuples(st.sampled_from("ab"), st.sampled_from("xy"), st.one_of(st.none(), st.integers(0, 90))),
