@@ -371,5 +371,13 @@ ORACLES = {
             'Feature engineering complete.' AS status"""),
 }
 
+ORACLES["placed_features"] = ORACLES["feature_table"]
+ORACLES["placed_profiles"] = _with("assigned", """
+    SELECT user_id, label, CASE label WHEN 0 THEN 'low-value' WHEN 1 THEN 'high-value' ELSE 'unknown' END AS label_name,
+        cluster, archetype, round(round(professional_ratio, 4), 6) AS professional_ratio, total_actions
+    FROM assigned WHERE user_id IN (SELECT user_id FROM modelled WHERE NOT is_train)""")
+ORACLES["tsv_foreign_ids"] = _with("counted", """
+    SELECT user_id || [chr(92) || 'new', chr(92) || 't' || chr(9) || chr(10), chr(92) || chr(92)][CAST(n % 3 + 1 AS INT)] AS user_id, action, cnt
+    FROM (SELECT *, CAST(substr(user_id, 3) AS BIGINT) AS n FROM counted)""")
 # Pretty-printed or not, the events are the same.
 ORACLES["spanning_records"] = ORACLES["raw_scan"]

@@ -21,6 +21,8 @@ from clickloom.sources import counts_tsv, event_table, raw_log, storage
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Buckets of stored tables.
+BUCKETS = 8
 # Ends of ids that a text format must not lose.
 HOSTILE = ["", "\t", "\n", "\r\n", "\"q", "\\", "\\t", "\\\\n", " x "]
 
@@ -279,6 +281,19 @@ def tsv_hostile_ids(spark, sf_dir):
     return counts_tsv.read_latest_run(spark, path)
 
 
+@query
+def tsv_foreign_ids(spark, sf_dir):
+    """A run of another writer, whose backslashes are backslashes, below one directory with an own run of hostile ids."""
+    path = storage.scratch_dir(spark, "foreign")
+    found = counts.action_counts(events(spark, sf_dir))
+    number = F.substring("user_id", 3, 20).cast("long") % 3
+    plain = F.concat("user_id", F.get(F.array(F.lit("\\new"), F.lit("C:\\temp"), F.lit("\\\\")), number.cast("int")))
+    lines = found.where(number != 1).select(F.concat_ws("\t", plain, "action", F.col("cnt").cast("string")).alias("value"))
+    lines.write.text(f"{path}/20240101_000000")
+    counts_tsv.write_counts(found.where(number == 1).withColumn("user_id", F.concat("user_id", F.lit("\\t\t\n"))), path, "20240201_000000")
+    return counts_tsv.read_counts(spark, path)
+
+
 @query
 def features_from_counts(spark, sf_dir):
     """Feature table from a stored count run and the session table."""
@@ -366,6 +381,15 @@ def feature_table_joined(spark, sf_dir):
     return features.join_features(counts.user_action_pivot(rows), sessions.session_features(rows))
 
 
+@query
+def placed_features(spark, sf_dir):
+    """Feature table from a pivot and session totals that are stored in buckets by user."""
+    rows = storage.stage(features.session_table(events(spark, sf_dir)), "session_table")
+    pivot = storage.stage_placed(features.pivot_of_sessions(rows), "pivot", "user_id", BUCKETS)
+    totals = storage.stage_placed(features.session_totals(features.features_of_sessions(rows)), "totals", "user_id", BUCKETS)
+    return features.join_totals(pivot, totals)
+
+
 @query
 def ratio_features(spark, sf_dir):
     return feature_rows(spark, sf_dir).select("user_id", "professional_ratio", "click_through_rate")
@@ -650,6 +674,15 @@ def user_profile(spark, sf_dir):
     return lookups.bulk_profiles(assigned, events(spark, sf_dir))
 
 
+@query
+def placed_profiles(spark, sf_dir):
+    """Profiles in bulk of the users with a vote, from assignments and predictions in buckets by user."""
+    rows = storage.stage(feature_rows(spark, sf_dir), "feature_table")
+    assigned = storage.stage_placed(rule_assignments(rows), "assignments", "user_id", BUCKETS)
+    voted = storage.stage_placed(rule_predictions(scaling.split(features.model_input(rows))[1]), "predictions", "user_id", BUCKETS)
+    return lookups.bulk_profiles(assigned, voted)
+
+
 @query
 def pipeline_telemetry(spark, sf_dir):
     return telemetry.pipeline_telemetry(events(spark, sf_dir))

@@ -27,10 +27,12 @@ def _parser() -> argparse.ArgumentParser:
     features.add_argument("--location")
     features.add_argument("--session-source", choices=["raw", "clean"], default="raw")
     features.add_argument("--counts", help="take the user-action pivot from the latest run below this directory")
+    features.add_argument("--user-buckets", type=int, help="place pivot and session totals by user in so many buckets")
     report = job("telemetry", "row counts of a run over a log", "log")
     for own in (count, features, report):
         own.add_argument("--min-dwell-ms", type=int)
         own.add_argument("--bot-pattern")
+        own.add_argument("--spanning", action="store_true", help="objects may span lines")
 
     job("classify", "train and compare the classifiers", "table", "output").add_argument("--curve-area", action="store_true")
     job("segment", "cluster the users", "table", "output").add_argument("--training-cost", action="store_true")
@@ -43,14 +45,14 @@ def _parser() -> argparse.ArgumentParser:
 
 def run(spark, args: argparse.Namespace) -> dict | DataFrame:
     """Result of one command: counters of a job, or the rows that it shows."""
-    cleaning = {k: getattr(args, k, None) for k in ("min_dwell_ms", "bot_pattern")}
+    cleaning = {k: getattr(args, k, None) for k in ("min_dwell_ms", "bot_pattern", "spanning")}
     cleaning = {k: v for k, v in cleaning.items() if v is not None}
     match args.job:
         case "count":
             return feature_job.count_actions(spark, args.log, args.counts, args.run_id, **cleaning)
         case "features":
             return feature_job.build_features(
-                spark, args.log, args.database, args.export, args.location, args.session_source, args.counts, **cleaning,
+                spark, args.log, args.database, args.export, args.location, args.session_source, args.counts, args.user_buckets, **cleaning,
             )
         case "telemetry":
             return telemetry.pipeline_telemetry(raw_log.read_events(spark, args.log, **cleaning))

@@ -96,13 +96,10 @@ def features_of_sessions(table: DataFrame) -> DataFrame:
     return table.drop(*[f"n_{a}" for a in C.PIVOT_ACTIONS], "total_actions")
 
 
-def join_features(pivot: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Feature table from a stored pivot and stored session features.
-
-    Sessions are reduced to one row per user before the join, so neither side has a repeated key.
-    """
+def session_totals(sessions: DataFrame) -> DataFrame:
+    """What the feature table takes from session features, one row per user."""
     whole_seconds = F.round(F.col("session_duration_min") * 60).cast("long")
-    per_user = sessions.groupBy("user_id").agg(
+    return sessions.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("total_sessions"),
         _mean_minutes(F.sum(whole_seconds), F.count(whole_seconds)).alias("avg_session_duration_min"),
         F.avg("session_events").alias("avg_events_per_session"),
@@ -111,7 +108,19 @@ def join_features(pivot: DataFrame, sessions: DataFrame) -> DataFrame:
         F.sum("n_deep_clicks").alias("total_deep_clicks"),
         F.min("first_ts").alias("first_ts"),
     )
-    return _with_targets(pivot.join(per_user, "user_id", "inner"))
+
+
+def join_totals(pivot: DataFrame, totals: DataFrame) -> DataFrame:
+    """Feature table from the pivot and the session totals; stored tables placed by user join without a shuffle."""
+    return _with_targets(pivot.join(totals, "user_id", "inner"))
+
+
+def join_features(pivot: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Feature table from a stored pivot and stored session features.
+
+    Sessions are reduced to one row per user before the join, so neither side has a repeated key.
+    """
+    return join_totals(pivot, session_totals(sessions))
 
 
 def model_input(features: DataFrame, labelled: bool = True) -> DataFrame:

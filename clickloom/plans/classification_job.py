@@ -33,8 +33,13 @@ def with_curve_areas(metrics: DataFrame, ensemble: models.Ensemble, scored: Data
     return metrics.withColumn("areaUnderROC", area)
 
 
-def classify(spark: SparkSession, table: str, output: str, curve_area: bool = False) -> DataFrame:
-    """Save models, predictions on the test users and the metrics report below ``output``."""
+def classify(
+    spark: SparkSession, table: str, output: str, curve_area: bool = False, placed: tuple[str, int] | None = None,
+) -> DataFrame:
+    """Save models, predictions on the test users and the metrics report below ``output``.
+
+    With ``placed``, a table name and a number of buckets, the predictions are also that table, placed by user.
+    """
     rows = features.model_input(spark.table(table))
     ensemble = fit_on(rows)
     for column, model in ensemble.models.items():
@@ -44,7 +49,10 @@ def classify(spark: SparkSession, table: str, output: str, curve_area: bool = Fa
     # Ranged by user, so a lookup of one user opens one file.
     scored = models.predictions(ensemble, test).repartitionByRange("user_id").sortWithinPartitions("user_id")
     storage.export_parquet(scored, f"{output}/predictions")
-    metrics = evaluation.classification_metrics(spark.read.parquet(f"{output}/predictions"))
+    stored = spark.read.parquet(f"{output}/predictions")
+    if placed:
+        storage.save_placed(stored, placed[0], "user_id", placed[1])
+    metrics = evaluation.classification_metrics(stored)
     if curve_area:
         metrics = with_curve_areas(metrics, ensemble, ensemble.transform(test))
     storage.write_records(metrics, f"{output}/metrics")

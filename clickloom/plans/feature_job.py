@@ -34,14 +34,16 @@ def build_features(
     location: str | None = None,
     session_source: str = "raw",
     counts_path: str | None = None,
+    user_buckets: int | None = None,
     **cleaning_options,
 ) -> dict:
     """Build all feature tables of a database from a log and export the feature table as Parquet.
 
     The text is read once and its events are shuffled once, into a table with one row per session. The pivot and the
     session features follow from that table, and the feature table joins these two, each reduced to one row per user.
-    With ``counts_path`` the pivot comes from the latest run of the counting job instead. Every table is replaced, so
-    a rerun gives the same tables. Returns the counters of the parse.
+    With ``counts_path`` the pivot comes from the latest run of the counting job instead. With ``user_buckets`` the pivot
+    and a table of session totals are placed by user in so many buckets, and the feature table joins these without
+    another shuffle. Every table is replaced, so a rerun gives the same tables. Returns the counters of the parse.
     """
     storage.create_database(spark, database, location)
     read = Observation("read")
@@ -54,11 +56,15 @@ def build_features(
         pivot = features.pivot_of_sessions(table)
     else:
         pivot = counts.pivot_counts(counts_tsv.read_latest_run(spark, counts_path))
-    storage.save_table(pivot, f"{database}.user_action_pivot")
-
-    joined = features.join_features(
-        spark.table(f"{database}.user_action_pivot"), spark.table(f"{database}.session_features")
-    )
+    sessions = spark.table(f"{database}.session_features")
+    if user_buckets is None:
+        storage.save_table(pivot, f"{database}.user_action_pivot")
+        joined = features.join_features(spark.table(f"{database}.user_action_pivot"), sessions)
+    else:
+        placed = {"user_action_pivot": pivot, "session_totals": features.session_totals(sessions)}
+        for name, rows in placed.items():
+            storage.save_placed(rows, f"{database}.{name}", "user_id", user_buckets)
+        joined = features.join_totals(*[spark.table(f"{database}.{name}") for name in placed])
     storage.save_table(joined, f"{database}.feature_table", partition_by="dt", order_by="user_id")
     storage.export_parquet(spark.table(f"{database}.feature_table"), export_path)
     return dict(read.get)

@@ -15,10 +15,13 @@ def fit_on(rows: DataFrame) -> segmentation.Segmentation:
         held.unpersist()
 
 
-def segment(spark: SparkSession, table: str, output: str, training_cost: bool = False) -> DataFrame:
+def segment(
+    spark: SparkSession, table: str, output: str, training_cost: bool = False, placed: tuple[str, int] | None = None,
+) -> DataFrame:
     """Save the model, the assignments and the cluster records below ``output``.
 
-    Assignments are ranged and sorted by user, so a lookup of one user opens one file.
+    Assignments are ranged and sorted by user, so a lookup of one user opens one file. With ``placed``, a table name
+    and a number of buckets, they are also that table, placed by user.
     """
     rows = features.model_input(spark.table(table), labelled=False)
     fitted = fit_on(rows)
@@ -27,4 +30,7 @@ def segment(spark: SparkSession, table: str, output: str, training_cost: bool =
         fitted.assignments(rows).repartitionByRange("user_id").sortWithinPartitions("user_id"), f"{output}/cluster_assignments"
     )
     storage.write_records(segmentation.cluster_metadata(fitted, rows, training_cost), f"{output}/cluster_metadata")
-    return spark.read.parquet(f"{output}/cluster_assignments")
+    stored = spark.read.parquet(f"{output}/cluster_assignments")
+    if placed:
+        storage.save_placed(stored, placed[0], "user_id", placed[1])
+    return stored

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from clickloom.sources import storage
 
+#: File that marks a run whose fields are escaped.
+MARK = "_ESCAPED"
 # What would end a field or a line, and the backslash itself, with their escapes; fixed values of the format.
 _ESCAPES = [("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
 
@@ -27,19 +29,30 @@ def _unescaped(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("\\")), F.array_join(pieces, "\\")).otherwise(text)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines of all count files anywhere below a directory, in column ``value``."""
     return spark.read.options(recursiveFileLookup=True, lineSep="\n").text(path)
 
 
-def read_counts(spark: SparkSession, path: str) -> DataFrame:
+def read_counts(spark: SparkSession, path: str, escaped: bool | None = None) -> DataFrame:
     """Headerless (user_id, action, cnt) files anywhere below a directory: the union of all runs.
 
-    Fields are plain text without quoting. Lines that aren't three fields with a count are left out;
-    ``reason_counts`` of the lines says how many there are.
+    Fields are plain text without quoting. Runs of this library are marked, and their escapes are undone; in all
+    other files a backslash is a backslash. ``escaped`` says instead that all files are one or the other. Lines that aren't
+    three fields with a count are left out; ``reason_counts`` of the lines says how many there are.
     """
-    rows = valid_tuples(read_lines(spark, path))
-    return rows.select(_unescaped(F.col("user_id")).alias("user_id"), _unescaped(F.col("action")).alias("action"), "cnt")
+    if escaped is None:
+        own, foreign = storage.marked_directories(spark, path, MARK)
+    else:
+        own, foreign = ([path], []) if escaped else ([], [path])
+    found = None
+    for paths, undone in ((own, True), (foreign, False)):
+        if paths:
+            rows = valid_tuples(read_lines(spark, paths))
+            if undone:
+                rows = rows.withColumns({c: _unescaped(F.col(c)) for c in ("user_id", "action")})
+            found = rows if found is None else found.unionByName(rows)
+    return valid_tuples(read_lines(spark, path)) if found is None else found
 
 
 def read_latest_run(spark: SparkSession, path: str) -> DataFrame:
@@ -51,11 +64,14 @@ def write_counts(counts: DataFrame, path: str, run_id: str) -> None:
     """One directory per run, each user's rows together in one file and in action order.
 
     Counts come partitioned by user from all producers, so sorting within partitions is enough. Tabs, line ends and
-    backslashes in names are escaped with a backslash.
+    backslashes in names are escaped with a backslash. A file beside them marks the run as escaped, and only then as complete.
     """
     ordered = counts.select("user_id", "action", "cnt").sortWithinPartitions("user_id", "action")
     line = F.concat_ws("\t", _escaped(F.col("user_id")), _escaped(F.col("action")), F.col("cnt").cast("string"))
-    ordered.select(line.alias("value")).write.option("lineSep", "\n").text(f"{path}/run_id={run_id}")
+    writer = ordered.select(line.alias("value")).write.option("lineSep", "\n").option(storage.NO_SUCCESS_FILE, "false")
+    writer.text(f"{path}/run_id={run_id}")
+    storage.touch(counts.sparkSession, f"{path}/run_id={run_id}/{MARK}")
+    storage.touch(counts.sparkSession, f"{path}/run_id={run_id}/_SUCCESS")
 
 
 def validate_lines(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -91,6 +91,28 @@ def save_table(df: DataFrame, table: str, partition_by: str | None = None, order
     _writer(df, "orc", partition_by, order_by).saveAsTable(table)
 
 
+def save_placed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Replace a table of one row per ``key``, placed in buckets by it, each one sorted file.
+
+    Tables placed alike join and group by the key without a shuffle, and a test of the key for equality reads one
+    bucket. A table with many rows per key isn't placed like this: its rows of one key would all be one task's.
+    """
+    placed = df.repartition(buckets, key).sortWithinPartitions(key).write.mode("overwrite").format("parquet")
+    placed = placed.option("path", path) if path else placed
+    placed.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
+def stage_placed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Written once by ``save_placed`` and read back; the rows are in the shared folder, the catalog forgets the name."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    save_placed(df, table, key, buckets, scratch_dir(spark, name))
+    found = spark.table(table)
+    found.schema  # resolved now; the plan holds the files and their placement
+    spark.sql(f"DROP TABLE {table}")
+    return found
+
+
 def export_parquet(
     df: DataFrame, path: str, partition_by: str | None = None, order_by: str | None = None
 ) -> None:
@@ -116,6 +138,36 @@ def subdirectories(spark: SparkSession, path: str) -> dict[str, bool]:
     return {p.getName(): fs.exists(hadoop.Path(p, "_SUCCESS")) for p in found}
 
 
+#: Write option for a directory whose writer says itself when it is complete.
+NO_SUCCESS_FILE = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Empty file."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True).close()
+
+
+def marked_directories(spark: SparkSession, path: str, mark: str) -> tuple[list[str], list[str]]:
+    """Directories at or below a path that hold the file ``mark``, and all other directories and files outside of them."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def sort(place) -> tuple[list[str], list[str]]:
+        if fs.exists(hadoop.Path(place, mark)):
+            return [place.toString()], []
+        inside = [s for s in fs.listStatus(place) if not s.getPath().getName().startswith(("_", "."))]
+        below = [sort(s.getPath()) for s in inside if s.isDirectory()]
+        marked = [p for found, _ in below for p in found]
+        if not marked:
+            return [], [place.toString()]
+        files = [s.getPath().toString() for s in inside if not s.isDirectory()]
+        return marked, files + [p for _, rest in below for p in rest]
+
+    return sort(root) if fs.exists(root) and fs.getFileStatus(root).isDirectory() else ([], [path])
+
+
 def latest_run(spark: SparkSession, path: str) -> str:
     done = [name for name, completed in subdirectories(spark, path).items() if completed and name.startswith("run_id=")]
     if not done:

@@ -139,3 +139,26 @@ def test_users_are_kept_together_and_sorted(spark, small, tmp_path):
         users = {user for user, _ in keys}
         assert not users & seen
         seen |= users
+
+
+def test_foreign_fields_are_plain(spark, tmp_path):
+    """Backslashes of other writers stay; own runs below the same directory are read with their escapes."""
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "b" / "part-0").write_text("u\\new\tclick\t3\nC:\\temp\tclick\t4\nu\\\\x\tclick\t5\n")
+    (tmp_path / "loose").write_text("\\t\tclick\t6\n")
+    foreign = [("u\\new", "click", 3), ("C:\\temp", "click", 4), ("u\\\\x", "click", 5), ("\\t", "click", 6)]
+    assert sorted(map(tuple, counts_tsv.read_counts(spark, str(tmp_path)).collect())) == sorted(foreign)
+    own = [("\\new", "click", 1), ("tab\t\\t", "click", 2), ("line\n", "click", 7)]
+    counts_tsv.write_counts(spark.createDataFrame(own, "user_id string, action string, cnt long"), str(tmp_path / "a"), "1")
+    assert sorted(map(tuple, counts_tsv.read_counts(spark, str(tmp_path)).collect())) == sorted(foreign + own)
+    assert sorted(map(tuple, counts_tsv.read_latest_run(spark, str(tmp_path / "a")).collect())) == sorted(own)
+    assert sorted(map(tuple, counts_tsv.read_counts(spark, str(tmp_path / "loose")).collect())) == [foreign[-1]]
+    assert counts_tsv.read_counts(spark, str(tmp_path / "loose"), escaped=True).first().user_id == "\t"
+
+
+def test_a_run_without_its_mark_is_not_complete(spark, tmp_path):
+    rows = spark.createDataFrame([("u", "click", 1)], "user_id string, action string, cnt long")
+    counts_tsv.write_counts(rows, str(tmp_path), "1")
+    counts_tsv.write_counts(rows, str(tmp_path), "2")
+    (tmp_path / "run_id=2" / "_SUCCESS").unlink()
+    assert storage.latest_run(spark, str(tmp_path)) == "run_id=1"
