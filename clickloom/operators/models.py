@@ -35,8 +35,8 @@ def perceptron() -> MultilayerPerceptronClassifier:
     )
 
 
-def fit_naive_bayes(train: DataFrame) -> PipelineModel:
-    scaler = scaling.fit_minmax(train)
+def fit_naive_bayes(train: DataFrame, known: scaling.Statistics | None = None) -> PipelineModel:
+    scaler = scaling.fit_minmax(train, known)
     return PipelineModel([*scaler.stages, naive_bayes().fit(scaler.transform(train))])
 
 
@@ -48,19 +48,19 @@ def _loaded(model, train: DataFrame):
     return type(model).load(path)
 
 
-def fit_on_standard(train: DataFrame, *estimators) -> list[PipelineModel]:
-    """Pipelines of the estimators over one fitted scaler and one copy of the scaled vectors."""
-    scaler = scaling.fit_standard(train)
+def fit_on_standard(train: DataFrame, known: scaling.Statistics | None, *estimators) -> list[PipelineModel]:
+    """Pipelines of the estimators over one scaler and one copy of the scaled vectors."""
+    scaler = scaling.fit_standard(train, known)
     vectors = storage.cut(scaler.transform(train).select("label", "standard_features"))
     return [PipelineModel([*scaler.stages, _loaded(e.fit(vectors), train)]) for e in estimators]
 
 
-def fit_linear_svm(train: DataFrame) -> PipelineModel:
-    return fit_on_standard(train, linear_svm())[0]
+def fit_linear_svm(train: DataFrame, known: scaling.Statistics | None = None) -> PipelineModel:
+    return fit_on_standard(train, known, linear_svm())[0]
 
 
-def fit_perceptron(train: DataFrame) -> PipelineModel:
-    return fit_on_standard(train, perceptron())[0]
+def fit_perceptron(train: DataFrame, known: scaling.Statistics | None = None) -> PipelineModel:
+    return fit_on_standard(train, known, perceptron())[0]
 
 
 @dataclass(frozen=True)
@@ -79,9 +79,11 @@ class Ensemble:
         return vote(rows, list(self.models))
 
 
-def fit_ensemble(train: DataFrame) -> Ensemble:
-    svm, mlp = fit_on_standard(train, linear_svm(), perceptron())
-    return Ensemble({"nb_pred": fit_naive_bayes(train), "svm_pred": svm, "mlp_pred": mlp})
+def fit_ensemble(train: DataFrame, known: scaling.Statistics | None = None) -> Ensemble:
+    """All voters, from one pass for the statistics of the features."""
+    known = known or scaling.statistics(train)
+    svm, mlp = fit_on_standard(train, known, linear_svm(), perceptron())
+    return Ensemble({"nb_pred": fit_naive_bayes(train, known), "svm_pred": svm, "mlp_pred": mlp})
 
 
 def vote(rows: DataFrame, columns: list[str]) -> DataFrame:

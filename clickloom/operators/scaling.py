@@ -1,9 +1,11 @@
 """Split, vector assembly and scaling."""
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import MinMaxScaler, SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,15 +22,33 @@ def split(rows: DataFrame, fraction: float = C.TRAIN_FRACTION) -> tuple[DataFram
     return rows.where(train), rows.where(~train)
 
 
-def arranged(rows: DataFrame, users_per_partition: int = 100_000) -> DataFrame:
+@dataclass(frozen=True)
+class Statistics:
+    """Of the complete rows their number, and of each feature mean, sample deviation, smallest and largest value."""
+
+    count: int
+    features: dict[str, tuple[float, float, float, float]]
+
+
+def statistics(rows: DataFrame) -> Statistics:
+    """All that fits need to know of their rows beforehand, in one aggregate and one row."""
+    measures = (F.avg, F.stddev_samp, F.min, F.max)
+    complete = rows.dropna(subset=C.FEATURES)
+    columns = [measure(F.col(c).cast("double")).alias(f"{c}_{i}") for c in C.FEATURES for i, measure in enumerate(measures)]
+    found = complete.agg(F.count(F.lit(1)).alias("n"), *columns).first()
+    # A single row has no deviation.
+    return Statistics(found["n"], {c: tuple(found[f"{c}_{i}"] or 0.0 for i in range(len(measures))) for c in C.FEATURES})
+
+
+def arranged(rows: DataFrame, users_per_partition: int = 100_000, count: int | None = None) -> DataFrame:
     """Row placement that depends on nothing but the users, so that iterative fits are repeatable.
 
     Users are unique, so hashing on the id spreads them evenly. The number of partitions follows the
-    number of users: each iteration of a fit visits every partition, and empty ones only cost time.
-    ``users_per_partition`` sets the parallelism of the fits and drops nothing; the perceptron and the clusters
+    number of users, ``count`` if it is known: each iteration of a fit visits every partition, and empty ones only cost
+    time. ``users_per_partition`` sets the parallelism of the fits and drops nothing; the perceptron and the clusters
     depend on the partitioning, so another value may give another, equally good, model.
     """
-    partitions = max(1, math.ceil(rows.count() / users_per_partition))
+    partitions = max(1, math.ceil((rows.count() if count is None else count) / users_per_partition))
     return rows.repartition(partitions, "user_id").sortWithinPartitions("user_id")
 
 
@@ -36,33 +56,39 @@ def assembler(inputs: list[str], output: str) -> VectorAssembler:
     return VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="skip")
 
 
-def fit_standard(rows: DataFrame, output: str = "standard_features") -> PipelineModel:
-    """Assembled features centred and scaled by the sample standard deviation."""
-    join = assembler(C.FEATURES, "raw_features")
-    scaler = StandardScaler(inputCol="raw_features", outputCol=output, withMean=True, withStd=True)
-    return PipelineModel([join, scaler.fit(join.transform(rows))])
+def _computed(kind: str, formula: Callable[..., str], known: Statistics) -> PipelineModel:
+    """Vector ``<kind>_features`` of a formula for each feature over its value and its statistics."""
+    if not known.count:
+        raise ValueError("no complete training rows: features cannot be scaled")
+    columns = [f"{formula(f'cast({c} as double)', *known.features[c])} AS {kind}_{c}" for c in C.FEATURES]
+    scale = SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
+    return PipelineModel([scale, assembler([f"{kind}_{c}" for c in C.FEATURES], f"{kind}_features")])
+
 
+def fit_standard(rows: DataFrame, known: Statistics | None = None) -> PipelineModel:
+    """``standard_features``: centred and scaled by the sample deviation, zero for a feature that doesn't vary."""
+    def formula(value, mean, deviation, low, high):
+        return f"({value} - {mean!r}D) / {deviation!r}D" if deviation else f"{value} * 0"
+
+    return _computed("standard", formula, known or statistics(rows))
 
-def _bounds(rows: DataFrame) -> dict[str, tuple[float, float]]:
-    """Smallest and largest value of each feature: one aggregate, one row of 34 numbers."""
-    ends = [f(F.col(c).cast("double")).alias(f"{c}_{n}") for c in C.FEATURES for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    found = rows.agg(*ends).first()
-    if any(value is None for value in found):
-        raise ValueError("no complete training rows: features cannot be scaled")
-    return {c: (found[f"{c}_lo"], found[f"{c}_hi"]) for c in C.FEATURES}
 
+def fit_spread(rows: DataFrame, known: Statistics | None = None) -> PipelineModel:
+    """``spread_features``: scaled like ``standard_features``, but not centred."""
+    def formula(value, mean, deviation, low, high):
+        return f"{value} / {deviation!r}D" if deviation else f"{value} * 0"
 
-def fit_minmax(rows: DataFrame, output: str = "minmax_features") -> PipelineModel:
-    """Features scaled to [0, 1] by the range of ``rows``.
+    return _computed("spread", formula, known or statistics(rows))
+
+
+def fit_minmax(rows: DataFrame, known: Statistics | None = None) -> PipelineModel:
+    """``minmax_features``: scaled to [0, 1] by the range of ``rows``, a half for a feature that doesn't vary.
 
     Later rows may fall outside that range, and naive Bayes refuses negative input, so each feature is
-    first held to the range. The clamp is a stage of its own and is saved with the model.
+    held to the range. The range is saved with the model.
     """
-    clamped = [
-        f"least(greatest(cast({c} as double), {lo!r}D), {hi!r}D) AS clamped_{c}"
-        for c, (lo, hi) in _bounds(rows).items()
-    ]
-    clamp = SQLTransformer(statement=f"SELECT *, {', '.join(clamped)} FROM __THIS__")
-    join = assembler([f"clamped_{c}" for c in C.FEATURES], "clamped_features")
-    scaler = MinMaxScaler(inputCol="clamped_features", outputCol=output)
-    return PipelineModel([clamp, join, scaler.fit(join.transform(clamp.transform(rows)))])
+    def formula(value, mean, deviation, low, high):
+        held = f"(least(greatest({value}, {low!r}D), {high!r}D) - {low!r}D)"
+        return f"{held} / {high - low!r}D" if high > low else f"{held} + 0.5D"
+
+    return _computed("minmax", formula, known or statistics(rows))

@@ -4,7 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import BisectingKMeans
-from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,17 +22,16 @@ ASSIGNMENT_COLUMNS = [
 
 @dataclass(frozen=True)
 class Segmentation:
-    """Fitted scalers, clusters and projection in one pipeline, with the sign of each projected axis."""
+    """Scalers, clusters and projection in one pipeline, with the sign of each projected axis and what was scaled by."""
 
     model: PipelineModel
     signs: tuple[float, ...]
+    known: scaling.Statistics
 
     @property
     def centers(self) -> list[list[float]]:
         """Cluster centres in terms of the centred and scaled features."""
-        scaler = self.model.stages[1]
-        deviations = scaler.std.toArray()
-        offset = [m / d if d > 0 else 0.0 for m, d in zip(scaler.mean.toArray(), deviations)]
+        offset = [mean / deviation if deviation else 0.0 for mean, deviation, _, _ in self.known.features.values()]
         return [[float(v - o) for v, o in zip(c, offset)] for c in self.clusters.clusterCenters()]
 
     @property
@@ -71,21 +70,19 @@ def _signs(projection) -> tuple[float, ...]:
     return tuple(1.0 if max(axis, key=abs) >= 0 else -1.0 for axis in loadings.T)
 
 
-def fit(rows: DataFrame, k: int = C.CLUSTERS) -> Segmentation:
+def fit(rows: DataFrame, k: int = C.CLUSTERS, known: scaling.Statistics | None = None) -> Segmentation:
     """Fit clusters and projection on complete feature rows.
 
     Clusters are fitted on features scaled but not centred. Distances, and so clusters, are the same, but
     a bisection starts from two centres a small share of the parent's length apart: around a parent at
     zero both would coincide, and rounding would decide whether the users are split at all.
     """
-    scaler = scaling.fit_standard(rows)
-    scaled = scaler.transform(rows)
-    spread = StandardScaler(inputCol="raw_features", outputCol="spread_features", withMean=False, withStd=True)
-    spread = spread.fit(scaled)
-    vectors = storage.cut(spread.transform(scaled).select("standard_features", "spread_features"))
+    known = known or scaling.statistics(rows)
+    scalers = [*scaling.fit_standard(rows, known).stages, *scaling.fit_spread(rows, known).stages]
+    vectors = storage.cut(PipelineModel(scalers).transform(rows).select("standard_features", "spread_features"))
     clusters = bisecting_k_means(k).fit(vectors)
     projection = _projection().fit(vectors)
-    return Segmentation(PipelineModel([*scaler.stages, spread, clusters, projection]), _signs(projection))
+    return Segmentation(PipelineModel([*scalers, clusters, projection]), _signs(projection), known)
 
 
 def fit_projection(rows: DataFrame) -> PipelineModel:

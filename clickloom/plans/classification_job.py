@@ -10,10 +10,15 @@ from clickloom.sources import storage
 
 
 def fit_one(rows: DataFrame, fit):
-    """One model, fitted on the training users by ``fit``; they are held in memory only while it runs."""
-    train = scaling.arranged(scaling.split(rows)[0]).persist(StorageLevel.MEMORY_AND_DISK)
+    """One model, fitted on the training users by ``fit``; they are held in memory only while it runs.
+
+    One aggregate over them tells their number, by which they are placed, and what the scalers need.
+    """
+    train = scaling.split(rows)[0]
+    known = scaling.statistics(train)
+    train = scaling.arranged(train, count=known.count).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return fit(train)
+        return fit(train, known)
     finally:
         train.unpersist()
 

@@ -8,9 +8,10 @@ from clickloom.sources import storage
 
 
 def fit_on(rows: DataFrame) -> segmentation.Segmentation:
-    held = scaling.arranged(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    known = scaling.statistics(rows)
+    held = scaling.arranged(rows, count=known.count).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return segmentation.fit(held)
+        return segmentation.fit(held, known=known)
     finally:
         held.unpersist()
 

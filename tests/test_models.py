@@ -119,3 +119,34 @@ def test_refit_gives_the_same_model(rows):
         models.fit_linear_svm(scaling.arranged(scaling.split(rows.repartition(n))[0])).stages[-1] for n in (1, 6)
     )
     assert first.coefficients == second.coefficients
+
+
+def test_one_job_before_the_fits(spark, small):
+    """Number of users, means, deviations and ranges come from one aggregate; building the scalers runs nothing."""
+    rows = storage.stage(features.model_input(features.feature_table(event_table.events(spark, small))), "rows")
+    group = "one job"
+    spark.sparkContext.setJobGroup(group, "statistics")
+    try:
+        known = scaling.statistics(rows)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        for fit in (scaling.fit_standard, scaling.fit_spread, scaling.fit_minmax):
+            fit(rows, known)
+        scaling.arranged(rows, count=known.count)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == jobs <= 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert known.count == rows.count()
+    exact = rows.agg(F.avg("n_search"), F.stddev("n_search"), F.min("n_search"), F.max("n_search")).first()
+    assert known.features["n_search"] == pytest.approx(tuple(exact))
+
+
+def test_statistics_leave_out_incomplete_rows(spark):
+    rows = spark.createDataFrame([[1.0] * len(C.FEATURES), [3.0] * len(C.FEATURES), [None] + [9.0] * (len(C.FEATURES) - 1)], ", ".join(f"{c} double" for c in C.FEATURES))
+    known = scaling.statistics(rows)
+    assert known.count == 2 and set(known.features.values()) == {(2.0, 2 ** 0.5, 1.0, 3.0)}
+    none = scaling.statistics(rows.where("false"))
+    assert none.count == 0
+    with pytest.raises(ValueError):
+        scaling.fit_standard(rows, none)
+    alone = scaling.statistics(rows.limit(1))
+    assert scaling.fit_standard(rows, alone).transform(rows.limit(1)).first().standard_features.toArray().tolist() == [0.0] * len(C.FEATURES)
