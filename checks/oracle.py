@@ -200,6 +200,39 @@ def _power_iteration(rounds: int = 600) -> str:
         UNION ALL SELECT CAST(2 AS INTEGER), round(l / trace, 6) FROM largest_2, whole"""
 
 
+def _margin_classifier(penalty: float = 0.01, gap: float = 1e-6, rounds: int = 50_000) -> str:
+    """Hinge loss and squared weights minimised through the dual: each round moves the pair of training users that violates
+    the optimum most, until no pair does by more than ``gap``. Then the sign of the margin of the other users."""
+    each = "list_transform(range(1, n + 1), lambda q: "
+    return f"""
+        , z AS (SELECT l.user_id, l.label, l.is_train, list(CASE WHEN sd > 0 THEN (x - mean) / sd ELSE 0.0 END ORDER BY l.feature) AS x
+            FROM long l JOIN (SELECT feature, avg(x) AS mean, stddev_samp(x) AS sd FROM long WHERE is_train GROUP BY feature) m
+                ON l.feature = m.feature GROUP BY ALL)
+        , train AS (SELECT row_number() OVER (ORDER BY user_id) AS i, 2 * label - 1 AS y, x FROM z WHERE is_train)
+        , side AS (SELECT list(y ORDER BY i) AS y, count(*) AS n, 1 / ({penalty}::DOUBLE * count(*)) AS c FROM train)
+        , kernel AS (SELECT list(r ORDER BY i) AS k FROM
+            (SELECT a.i, list(list_dot_product(a.x, b.x) ORDER BY b.i) AS r FROM train a, train b GROUP BY a.i))
+        , dual AS (
+            SELECT 0 AS t, list_transform(y, lambda q: 0.0::DOUBLE) AS a, list_transform(y, lambda q: -1.0::DOUBLE) AS g,
+                1.0::DOUBLE AS high, -1.0::DOUBLE AS low FROM side
+            UNION ALL
+            SELECT t + 1,
+                {each} a[q] + CASE WHEN q = i THEN y[i] * d WHEN q = j THEN -y[j] * d ELSE 0 END),
+                {each} g[q] + y[q] * d * (k[i][q] - k[j][q])), up[i], down[j]
+            FROM (SELECT *, least((up[i] - down[j]) / greatest(k[i][i] + k[j][j] - 2 * k[i][j], 1e-12),
+                    CASE WHEN y[i] > 0 THEN c - a[i] ELSE a[i] END, CASE WHEN y[j] > 0 THEN a[j] ELSE c - a[j] END) AS d
+                FROM (SELECT *, list_position(up, list_max(up)) AS i, list_position(down, list_min(down)) AS j
+                    FROM (SELECT *,
+                            {each} CASE WHEN y[q] > 0 AND a[q] < c OR y[q] < 0 AND a[q] > 0 THEN -y[q] * g[q] ELSE -1e9 END) AS up,
+                            {each} CASE WHEN y[q] < 0 AND a[q] < c OR y[q] > 0 AND a[q] > 0 THEN -y[q] * g[q] ELSE 1e9 END) AS down
+                        FROM dual, side, kernel)))
+            WHERE high - low >= {gap} AND t < {rounds})
+        , solved AS (SELECT a, (high + low) / 2 AS bias FROM dual ORDER BY t DESC LIMIT 1)
+        SELECT e.user_id, e.label, CASE WHEN sum(a[i] * y * list_dot_product(t.x, e.x)) + any_value(bias) > 0 THEN 1.0::DOUBLE
+            ELSE 0.0::DOUBLE END AS svm_pred
+        FROM z e, train t, solved WHERE NOT e.is_train GROUP BY e.user_id, e.label"""
+
+
 def _cases(expected: dict[int, str]) -> str:
     return " ".join(f"WHEN {k} THEN {v}" for k, v in expected.items())
 
@@ -379,5 +412,7 @@ ORACLES["placed_profiles"] = _with("assigned", """
 ORACLES["tsv_foreign_ids"] = _with("counted", """
     SELECT user_id || [chr(92) || 'new', chr(92) || 't' || chr(9) || chr(10), chr(92) || chr(92)][CAST(n % 3 + 1 AS INT)] AS user_id, action, cnt
     FROM (SELECT *, CAST(substr(user_id, 3) AS BIGINT) AS n FROM counted)""")
+# The margin classifier solved anew, to its optimum.
+ORACLES["svm_predictions"] = _with("long", _margin_classifier()).replace("WITH", "WITH RECURSIVE", 1)
 # Pretty-printed or not, the events are the same.
 ORACLES["spanning_records"] = ORACLES["raw_scan"]
