@@ -24,20 +24,31 @@ def parse_object(line: Column) -> Column:
     return F.when(text.startswith("{"), parsed)
 
 
-def may_hold_more(line: Column) -> Column:
-    """Whether a brace opens after one has closed, as it must where another object follows the first."""
-    closed = F.instr(line, "}")
-    return (closed > 0) & F.contains(F.substring(line, closed, F.length(line)), F.lit("{"))
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
 
 
-def framed_objects(line: Column) -> Column:
+def _object(levels: int) -> str:
+    """Pattern of text in braces that balance, up to so many levels of them; braces in strings don't count."""
+    inner = f"|{_object(levels - 1)}" if levels else ""
+    return rf"\{{(?:[^{{}}\"]++|{_STRING}{inner})*+\}}"
+
+
+# A single object. Deeper ones don't match, which costs a scan and changes nothing.
+_ALONE = rf"(?s)^\s*{_object(3)}[\s,]*$"
+
+
+def is_alone(line: Column) -> Column:
+    """Whether a line is one object for sure, with nothing behind it."""
+    return line.rlike(_ALONE)
+
+
+def framed_objects(line: Column, quotes: bool) -> Column:
     """VARIANTs of all objects on a line, whatever stands before, between and after them.
 
-    One pass over the line cuts it where the braces balance, both with regard to quotes and without, as a stray quote or
-    brace defeats one of the two; objects cut with regard to quotes come first. What is left open at the end goes
-    through the repair.
+    One pass over the line cuts it where the braces balance, with regard to quotes or without, as a stray quote or
+    brace defeats one of the two. What is left open at the end goes through the repair.
     """
-    pieces = F.array_distinct(_balanced(stripped(line)))
+    pieces = _balanced(stripped(line), quotes)
     # A brace alone at the end would be repaired to an empty object.
     return F.filter(F.transform(F.filter(pieces, lambda p: p != "{"), parse_object), lambda v: v.isNotNull())
 
@@ -47,46 +58,34 @@ def framed_objects(line: Column) -> Column:
 _TOKENS = r'(?s)(?:[^{}"\\]++|\\.?|"[^{}"\\]*+")*+[{}"]?'
 
 
-def _balanced(text: Column) -> Column:
+def _balanced(text: Column, quotes: bool) -> Column:
     """Pieces of a text from a brace that opens outside of all to the one that closes it, or to the end.
 
-    A fold over the tokens with the depth by either reading. With regard to quotes, a closing brace outside of all means
-    nothing; without, it is made good by the next one that opens.
+    A fold over the tokens. With regard to quotes, a closing brace outside of all means nothing; without, it is made
+    good by the next one that opens.
     """
-    state = (
-        "struct<at:int,quoted:boolean,strict:struct<depth:int,start:int,found:array<string>>,"
-        "plain:struct<depth:int,start:int,found:array<string>>>"
+    state = F.struct(
+        F.lit(1).alias("at"), F.lit(0).alias("depth"), F.lit(1).alias("start"), F.lit(False).alias("quoted"),
+        F.array().cast("array<string>").alias("found"),
     )
 
-    def followed(reading: Column, at: Column, opens: Column, closes: Column) -> Column:
-        """A reading after a token that ends before ``at`` with a brace that opens or closes, or with none."""
-        before = reading["depth"]
+    def step(s: Column, token: Column) -> Column:
+        at, before = s["at"] + F.length(token), s["depth"]
+        opens, closes, quoted = F.endswith(token, F.lit("{")), F.endswith(token, F.lit("}")), s["quoted"]
+        if quotes:
+            opens, closes = opens & ~quoted, closes & ~quoted & (before > 0)
+            quoted = quoted != (F.endswith(token, F.lit('"')) & (before > 0))
         depth = F.when(opens, before + 1).when(closes, before - 1).otherwise(before)
-        closes = (depth == 0) & (before != 0)
-        piece = F.substring(text, reading["start"], at - reading["start"])
+        piece = F.substring(text, s["start"], at - s["start"])
         return F.struct(
-            depth.alias("depth"), F.when((before == 0) & (depth == 1), at - 1).otherwise(reading["start"]).alias("start"),
-            F.when(closes, F.array_append(reading["found"], piece)).otherwise(reading["found"]).alias("found"),
+            at.alias("at"), depth.alias("depth"), F.when((before == 0) & opens, at - 1).otherwise(s["start"]).alias("start"),
+            quoted.alias("quoted"), F.when((depth == 0) & (before != 0), F.array_append(s["found"], piece)).otherwise(s["found"]).alias("found"),
         )
 
-    def step(s: Column, token: Column) -> Column:
-        at, mark = s["at"] + F.length(token), F.right(token, F.lit(1))
-        opens, closes, inside, free = mark == "{", mark == "}", s["strict"]["depth"] > 0, ~s["quoted"]
-        return F.struct(
-            at.alias("at"), (s["quoted"] != ((mark == '"') & inside)).alias("quoted"),
-            followed(s["strict"], at, opens & free, closes & free & inside).alias("strict"),
-            followed(s["plain"], at, opens, closes).alias("plain"),
-        ).cast(state)
-
-    def finish(reading: Column) -> Column:
-        rest = F.substring(text, reading["start"], F.length(text))
-        return F.when(reading["depth"] != 0, F.array_append(reading["found"], rest)).otherwise(reading["found"])
-
-    none = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("start"), F.array().cast("array<string>").alias("found"))
-    first = F.struct(F.lit(1).alias("at"), F.lit(False).alias("quoted"), none.alias("strict"), none.alias("plain")).cast(state)
-    return F.aggregate(
-        F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0)), first, step, lambda s: F.concat(finish(s["strict"]), finish(s["plain"])),
-    )
+    def finish(s: Column) -> Column:
+        return F.when(s["depth"] != 0, F.array_append(s["found"], F.substring(text, s["start"], F.length(text)))).otherwise(s["found"])
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0)), state, step, finish)
 
 
 def type_of(document: Column, name: str) -> Column:

@@ -52,18 +52,26 @@ def _status(judged: Column, min_dwell_ms: int, bot_pattern: str | None) -> Colum
     return disposition(judged["corrupt"], judged["ids_are_text"], min_dwell_ms, bot_pattern, record, flag)
 
 
-def _framed(line: Column, first: Column, record: T.StructType, min_dwell_ms: int, bot_pattern: str | None) -> Column:
+def _framed(line: Column, missing: Column, record: T.StructType, min_dwell_ms: int, bot_pattern: str | None) -> Column:
     """Of the objects on a line the first that is emitted; where the line starts with none, else the first of all."""
     def emitted(judged: Column) -> Column:
         return _status(judged, min_dwell_ms, bot_pattern) == "emitted"
 
     def chosen(found: Column) -> Column:
-        fallback = F.when(first["missing"], F.get(found, F.lit(0)))
-        return F.coalesce(F.get(F.filter(found, emitted), F.lit(0)), fallback)
+        return F.struct(F.get(F.filter(found, emitted), F.lit(0)).alias("emitted"), F.get(found, F.lit(0)).alias("first"))
 
-    objects = F.transform(json_text.framed_objects(line), lambda document: _judged(document, record))
-    # A list of one element binds the objects, so that they are looked for once.
-    return F.get(F.transform(F.array(objects), chosen), F.lit(0))
+    def cut(quotes: bool) -> Column:
+        objects = F.transform(json_text.framed_objects(line, quotes), lambda document: _judged(document, record))
+        # A list of one element binds the objects, so that they are looked for once.
+        return F.get(F.transform(F.array(objects), chosen), F.lit(0))
+
+    def best(by_quotes: Column) -> Column:
+        def either(plain: Column) -> Column:
+            return F.coalesce(plain["emitted"], F.when(missing, F.coalesce(by_quotes["first"], plain["first"])))
+
+        return F.coalesce(by_quotes["emitted"], F.get(F.transform(F.array(cut(quotes=False)), either), F.lit(0)))
+
+    return F.get(F.transform(F.array(cut(quotes=True)), best), F.lit(0))
 
 
 def type_events(
@@ -74,7 +82,7 @@ def type_events(
 ) -> DataFrame:
     """Typed event columns and status for each line of column ``line``; other columns are kept.
 
-    A line is parsed once, as the object that it starts with. Only if that one isn't emitted and another may follow, or if
+    A line is parsed once, as the object that it starts with. Only if that one isn't emitted and text follows it, or if
     there is none, the line is cut into its objects, and the first one that is emitted counts. The typed record accepts
     any JSON type for text fields, so the type tests on the ids and the timestamp look at the document itself. ``record``
     names the fields to read; what it leaves out is not extracted.
@@ -87,10 +95,10 @@ def type_events(
         *kept, "line", F.col("parsed").isNull().alias("missing"), F.inline(F.array(_judged(F.col("parsed"), record))),
     )
     own = F.struct("flag_type", "ids_are_text", "corrupt", "record")
-    line, first = F.col("line"), F.struct("missing")
+    line, missing = F.col("line"), F.col("missing")
     rejected = _status(own, min_dwell_ms, bot_pattern) != "emitted"
-    more = F.when(F.col("missing"), F.contains(line, F.lit("{"))).otherwise(json_text.may_hold_more(line))
-    found = F.when(rejected & more, F.coalesce(_framed(line, first, record, min_dwell_ms, bot_pattern), own)).otherwise(own)
+    more = F.when(missing, F.contains(line, F.lit("{"))).otherwise(~json_text.is_alone(line))
+    found = F.when(rejected & more, F.coalesce(_framed(line, missing, record, min_dwell_ms, bot_pattern), own)).otherwise(own)
     flat = once.select(
         *kept, (json_text.stripped(line) == "").alias("blank"), F.xxhash64("line").alias("line_hash"), F.inline(F.array(found)),
     ).select(*kept, "blank", "line_hash", "flag_type", "ids_are_text", "corrupt", "record.*")

@@ -16,7 +16,7 @@ MAX_PIECES = 10_000
 
 _STRING = r'"(?:[^"\\]++|\\.)*+"'
 # What opens and then what closes: in such a piece no object ends before another begins. Braces in strings don't count.
-_PIECES = rf'(?s)(?:{_STRING}|[^}}])*+(?:{_STRING}|[^{{])*+'
+_PIECES = rf'(?s)(?:[^}}"]++|{_STRING}|")*+(?:[^{{"]++|{_STRING}|")*+'
 _IN_FILE = ["file", "block"]
 
 
