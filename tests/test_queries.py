@@ -12,10 +12,9 @@ SAME_TYPE = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
 }
 # Too few users for these fits to be meaningful at the small scale; covered by their own tests.
-FITS = {"svm_predictions", "mlp_predictions", "ensemble_predictions", "trained_metrics", "cluster_assignments",
-        "cluster_metadata"}
+FITS = {"mlp_predictions", "ensemble_predictions", "trained_metrics", "cluster_assignments", "cluster_metadata"}
 # Compared on more users.
-LARGER = {"vote_audit", "svm_audit", "cluster_audit", "pca_variance"}
+LARGER = {"vote_audit", "svm_audit", "svm_predictions", "cluster_audit", "pca_variance"}
 
 
 @pytest.fixture(scope="module")
