@@ -32,11 +32,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return _handed_out[-1]
 
 
-def delete_scratch(spark: SparkSession) -> None:
-    """Delete what was written to scratch directories; frames that were read from there are gone then."""
+def scratch_dirs() -> list[str]:
+    """Scratch directories that were handed out and not deleted, oldest first."""
+    return list(_handed_out)
+
+
+def delete_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete what was written to scratch directories, or to some of them; frames that were read from there are gone then."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    while _handed_out:
-        path = hadoop.Path(_handed_out.pop())
+    for name in scratch_dirs() if paths is None else paths:
+        _handed_out.remove(name)
+        path = hadoop.Path(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
