@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import bpe, decontamination, quality, simhash, suffix_dedup, workspace
+from clickloom.sources import storage
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,8 +80,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents. What a stage has read and written on its way is deleted once its result is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), storage.scratch_dirs()
     for name, stage in STAGES:
         docs = workspace.stage(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        *done, _ = [path for path in storage.scratch_dirs() if path not in before]
+        storage.delete_scratch(spark, done)
     return docs
