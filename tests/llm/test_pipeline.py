@@ -4,9 +4,11 @@ import random
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clickloom.llm import bpe, quality
+from clickloom.sources import storage
 
 from . import brute
 from .conftest import CLASHES, prose
@@ -88,6 +90,22 @@ def test_stages_as_brute_force(spark, folder):
     assert sorted((r.doc_id, r.ids, r.decoded_sha256) for r in corpus_pipeline.run(spark, folder).collect()) == want
 
 
+def test_only_the_result_stays(spark, folder):
+    before = storage.scratch_dirs()
+    rows = corpus_pipeline.run(spark, folder)
+    (left,) = [path for path in storage.scratch_dirs() if path not in before]
+    assert rows.count() == spark.read.parquet(left).count() > 0
+
+
+def test_a_column_named_like_the_key_in_other_case(spark, folder):
+    """Spark takes ROW_KEY and row_key for one column."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumns({"ROW_KEY": F.concat(F.lit("k"), "doc_id"), "Row_Key_": F.lit("y")})
+    for stage in (corpus_pipeline.near_dedup, corpus_pipeline.benchmark_removal):
+        kept = stage(spark, docs, folder)
+        assert kept.columns == docs.columns
+        assert all(r["ROW_KEY"] == f"k{r.doc_id}" and r["Row_Key_"] == "y" for r in kept.collect())
+
+
 def test_no_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
