@@ -233,6 +233,48 @@ def _margin_classifier(penalty: float = 0.01, gap: float = 1e-6, rounds: int = 5
         FROM z e, train t, solved WHERE NOT e.is_train GROUP BY e.user_id, e.label"""
 
 
+def _bisected(body: str, clusters: int = 5, smallest: int = 20, rounds: int = 30, powers: int = 400) -> str:
+    """Clusters by splitting the one of largest cost at the mean of its leading axis, then moving both centres until they rest.
+
+    ``body`` finds them in ``found`` (user_id, z, cluster)."""
+    n = len(C.FEATURES)
+    each = f"list_transform(range(1, {n + 1}), lambda i: "
+
+    def means(side: str) -> str:
+        return "[" + ", ".join(f"avg(z[{i}]) FILTER ({side})" for i in range(1, n + 1)) + "]"
+
+    parts = [f"""
+        , points AS MATERIALIZED (SELECT user_id, list(z ORDER BY list_position({_list(C.FEATURES)}, feature)) AS z FROM standard GROUP BY user_id)
+        , leaf_0 AS MATERIALIZED (SELECT user_id, z, 0 AS cluster FROM points)"""]
+    for s in range(1, clusters):
+        parts.append(f"""
+        , chosen_{s} AS MATERIALIZED (SELECT cluster, list(mean ORDER BY i) AS mean FROM (
+                SELECT cluster, i, count(*) AS n, avg(x) AS mean, var_pop(x) * count(*) AS cost
+                FROM (SELECT cluster, unnest(z) AS x, unnest(range(1, {n + 1})) AS i FROM leaf_{s - 1}) GROUP BY cluster, i)
+            GROUP BY cluster HAVING any_value(n) >= {smallest} ORDER BY sum(cost) DESC, cluster LIMIT 1)
+        , members_{s} AS MATERIALIZED (SELECT z, {each} z[i] - mean[i]) AS d FROM leaf_{s - 1} JOIN chosen_{s} USING (cluster))
+        , matrix_{s} AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM (
+            SELECT i, j, sum(d[i] * d[j]) AS c FROM members_{s}, range(1, {n + 1}) AS a(i), range(1, {n + 1}) AS b(j) GROUP BY i, j) GROUP BY i))
+        , power_{s} AS (
+            SELECT 0 AS t, list_transform(range({n}), lambda x: 1 + x / 50.0::DOUBLE) AS v
+            UNION ALL
+            SELECT t + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))
+            FROM (SELECT t, list_transform(m, lambda r: list_dot_product(r, v)) AS w FROM power_{s}, matrix_{s}) WHERE t < {powers})
+        , axis_{s} AS MATERIALIZED (SELECT list_transform(v, lambda x: x * CASE WHEN list_max(v) >= -list_min(v) THEN 1 ELSE -1 END) AS v
+            FROM power_{s} WHERE t = {powers})
+        , centres_{s} AS (
+            SELECT 0 AS t, {means("NOT far")} AS a, {means("far")} AS b
+            FROM (SELECT z, list_dot_product(d, v) > 0 AS far FROM members_{s}, axis_{s})
+            UNION ALL
+            SELECT t + 1, {means("NOT far")}, {means("far")}
+            FROM (SELECT t, z, list_distance(z, b) < list_distance(z, a) AS far FROM centres_{s}, members_{s} WHERE t < {rounds}) GROUP BY t)
+        , leaf_{s} AS MATERIALIZED (
+            SELECT user_id, z, CASE WHEN l.cluster = c.cluster AND list_distance(z, b) < list_distance(z, a) THEN {s} ELSE l.cluster END AS cluster
+            FROM leaf_{s - 1} l LEFT JOIN chosen_{s} c ON l.cluster = c.cluster LEFT JOIN (SELECT a, b FROM centres_{s} WHERE t = {rounds}) ON true)""")
+    found = f"\n        , found AS MATERIALIZED (SELECT * FROM leaf_{clusters - 1})\n"
+    return _with("standard", "".join(parts) + found + body).replace("WITH", "WITH RECURSIVE", 1)
+
+
 def _cases(expected: dict[int, str]) -> str:
     return " ".join(f"WHEN {k} THEN {v}" for k, v in expected.items())
 
@@ -414,5 +456,21 @@ ORACLES["tsv_foreign_ids"] = _with("counted", """
     FROM (SELECT *, CAST(substr(user_id, 3) AS BIGINT) AS n FROM counted)""")
 # The margin classifier solved anew, to its optimum.
 ORACLES["svm_predictions"] = _with("long", _margin_classifier()).replace("WITH", "WITH RECURSIVE", 1)
+ORACLES["repeatable_assignments"] = _bisected(f"""
+    SELECT user_id, CAST(cluster AS INTEGER) AS cluster, CAST(label AS INTEGER) AS label, {_rounded("professional_ratio")},
+        total_actions, total_sessions
+    FROM found JOIN modelled USING (user_id)""")
+ORACLES["repeatable_metadata"] = _bisected(f"""
+    , means AS (SELECT a.user_id, a.cluster, b.cluster AS other, avg(list_distance(a.z, b.z) ** 2) AS d
+        FROM found a JOIN found b ON a.user_id <> b.user_id GROUP BY ALL)
+    , sides AS (SELECT user_id, any_value(d) FILTER (cluster = other) AS a, min(d) FILTER (cluster <> other) AS b FROM means GROUP BY user_id)
+    , score AS (SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 4) AS silhouette FROM sides)
+    , parts AS (SELECT cluster, f, count(*) AS n, avg(x) AS mean, var_pop(x) * count(*) AS cost FROM
+        (SELECT cluster, unnest(z) AS x, unnest({_list(C.FEATURES)}) AS f FROM found) GROUP BY cluster, f)
+    SELECT CAST(cluster AS INTEGER) AS cluster_id,
+        CASE cluster {" ".join(f"WHEN {k} THEN '{v}'" for k, v in C.ARCHETYPES.items())} ELSE 'Segment-' || cluster END AS archetype,
+        n AS user_count, f AS feature, round(mean, 4) + 0.0 AS centre, silhouette,
+        (SELECT round(sum(cost), 4) FROM parts) AS training_cost
+    FROM parts, score""")
 # Pretty-printed or not, the events are the same.
 ORACLES["spanning_records"] = ORACLES["raw_scan"]

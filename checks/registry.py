@@ -575,6 +575,26 @@ def cluster_metadata(spark, sf_dir):
     return segmentation.cluster_metadata(segmentation_job.fit_on(rows), rows)
 
 
+@query
+def repeatable_assignments(spark, sf_dir):
+    """Clusters without a random start, which SQL finds anew."""
+    rows = features.model_input(stored_features(spark, sf_dir), labelled=False)
+    placed = segmentation_job.fit_on(rows, repeatable=True).assignments(rows)
+    return placed.select("user_id", "cluster", "label", "professional_ratio", "total_actions", "total_sessions")
+
+
+@query
+def repeatable_metadata(spark, sf_dir):
+    """Records of these clusters, one row per feature of a centre."""
+    rows = features.model_input(stored_features(spark, sf_dir), labelled=False)
+    records = segmentation.cluster_metadata(segmentation_job.fit_on(rows, repeatable=True), rows, training_cost=True)
+    named = F.arrays_zip(F.array(*[F.lit(c) for c in C.FEATURES]).alias("feature"), F.col("centroid").alias("centre"))
+    return records.select(
+        "cluster_id", "archetype", "user_count", F.inline(named).alias("feature", "centre"), "silhouette",
+        F.round("training_cost", 4).alias("training_cost"),
+    )
+
+
 @query
 def cluster_audit(spark, sf_dir):
     """Fitted clusters add up: users, and squared distances within and between clusters to the total; the model's own

@@ -35,7 +35,9 @@ def _parser() -> argparse.ArgumentParser:
         own.add_argument("--spanning", action="store_true", help="objects may span lines")
 
     job("classify", "train and compare the classifiers", "table", "output").add_argument("--curve-area", action="store_true")
-    job("segment", "cluster the users", "table", "output").add_argument("--training-cost", action="store_true")
+    segment = job("segment", "cluster the users", "table", "output")
+    segment.add_argument("--training-cost", action="store_true")
+    segment.add_argument("--repeatable", action="store_true", help="clusters without a random start")
     job("report", "metrics of a classification", "output")
     job("points", "clustered users for a plot", "output").add_argument("--limit", type=int, default=C.DEFAULT_POINTS)
     profile = job("profile", "profile of one user", "output", "user_id")
@@ -59,7 +61,8 @@ def run(spark, args: argparse.Namespace) -> dict | DataFrame:
         case "classify":
             return classification_job.classify(spark, args.table, args.output, args.curve_area)
         case "segment":
-            return segmentation_job.segment(spark, args.table, args.output, args.training_cost).groupBy("cluster").count()
+            stored = segmentation_job.segment(spark, args.table, args.output, args.training_cost, repeatable=args.repeatable)
+            return stored.groupBy("cluster").count()
         case "report":
             return lookups.metrics_long(storage.read_metrics(spark, f"{args.output}/metrics"))
         case "points":

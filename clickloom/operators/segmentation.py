@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from clickloom import constants as C
 from clickloom import schemas
 from clickloom.functions import rules
-from clickloom.operators import evaluation, scaling
+from clickloom.operators import bisection, evaluation, scaling
 from clickloom.sources import storage
 
 ASSIGNMENT_COLUMNS = [
@@ -22,18 +22,29 @@ ASSIGNMENT_COLUMNS = [
 
 @dataclass(frozen=True)
 class Segmentation:
-    """Scalers, clusters and projection in one pipeline, with the sign of each projected axis and what was scaled by."""
+    """Scalers, clusters and projection in one pipeline, with the sign of each projected axis and what was scaled by.
+
+    ``tree`` is there if the clusters are repeatable ones.
+    """
 
     model: PipelineModel
     signs: tuple[float, ...]
     known: scaling.Statistics
+    tree: bisection.Bisection | None = None
 
     @property
     def centers(self) -> list[list[float]]:
         """Cluster centres in terms of the centred and scaled features."""
+        if self.tree:
+            return [list(g.mean) for g in self.tree.groups]
         offset = [mean / deviation if deviation else 0.0 for mean, deviation, _, _ in self.known.features.values()]
         return [[float(v - o) for v, o in zip(c, offset)] for c in self.clusters.clusterCenters()]
 
+    @property
+    def cost(self) -> float:
+        """Summed squared distances of the training rows to their centres."""
+        return float(self.tree.cost if self.tree else self.clusters.summary.trainingCost)
+
     @property
     def clusters(self):
         return self.model.stages[-2]
@@ -70,14 +81,18 @@ def _signs(projection) -> tuple[float, ...]:
     return tuple(1.0 if max(axis, key=abs) >= 0 else -1.0 for axis in loadings.T)
 
 
-def fit(rows: DataFrame, k: int = C.CLUSTERS, known: scaling.Statistics | None = None) -> Segmentation:
-    """Fit clusters and projection on complete feature rows.
+def fit(
+    rows: DataFrame, k: int = C.CLUSTERS, known: scaling.Statistics | None = None, repeatable: bool = False,
+) -> Segmentation:
+    """Fit clusters and projection on complete feature rows; ``repeatable`` ones have no random start (see ``bisection``).
 
     Clusters are fitted on features scaled but not centred. Distances, and so clusters, are the same, but
     a bisection starts from two centres a small share of the parent's length apart: around a parent at
     zero both would coincide, and rounding would decide whether the users are split at all.
     """
     known = known or scaling.statistics(rows)
+    if repeatable:
+        return _fit_repeatable(rows, k, known)
     scalers = [*scaling.fit_standard(rows, known).stages, *scaling.fit_spread(rows, known).stages]
     vectors = storage.cut(PipelineModel(scalers).transform(rows).select("standard_features", "spread_features"))
     clusters = bisecting_k_means(k).fit(vectors)
@@ -85,6 +100,14 @@ def fit(rows: DataFrame, k: int = C.CLUSTERS, known: scaling.Statistics | None =
     return Segmentation(PipelineModel([*scalers, clusters, projection]), _signs(projection), known)
 
 
+def _fit_repeatable(rows: DataFrame, k: int, known: scaling.Statistics) -> Segmentation:
+    scaler = scaling.fit_standard(rows, known)
+    vectors = storage.cut(scaler.transform(rows).select("standard_features", *C.FEATURES))
+    tree = bisection.fit(vectors, {c: known.features[c][:2] for c in C.FEATURES}, "standard_features", k)
+    projection = _projection().fit(vectors)
+    return Segmentation(PipelineModel([*scaler.stages, tree.stage(), projection]), _signs(projection), known, tree)
+
+
 def fit_projection(rows: DataFrame) -> PipelineModel:
     """Scalers and projection alone, without clusters."""
     scaler = scaling.fit_standard(rows)
@@ -139,4 +162,4 @@ def cluster_metadata(segmentation: Segmentation, rows: DataFrame, training_cost:
     records = describe_clusters(centers, cluster_sizes(clustered), score).to(schemas.CLUSTER_METADATA)
     if not training_cost:
         return records
-    return records.withColumn("training_cost", F.lit(float(segmentation.clusters.summary.trainingCost)))
+    return records.withColumn("training_cost", F.lit(segmentation.cost))

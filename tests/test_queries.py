@@ -14,7 +14,7 @@ SAME_TYPE = {
 # Too few users for these fits to be meaningful at the small scale; covered by their own tests.
 FITS = {"mlp_predictions", "ensemble_predictions", "trained_metrics", "cluster_assignments", "cluster_metadata"}
 # Compared on more users.
-LARGER = {"vote_audit", "svm_audit", "svm_predictions", "cluster_audit", "pca_variance"}
+LARGER = {"vote_audit", "svm_audit", "svm_predictions", "cluster_audit", "pca_variance", "repeatable_assignments", "repeatable_metadata"}
 
 
 @pytest.fixture(scope="module")
