@@ -35,11 +35,61 @@ def test_documents_that_were_not_learned(spark, model):
     assert sum(right) / len(right) > 0.9
 
 
-def test_slopes_match_differences():
-    rng = np.random.default_rng(1)
-    x, count, label = rng.normal(size=(9, 5)), np.array([2, 3, 4]), np.array([1, 0, 1])
-    weights = quality.learn(x, count, label, np.ones(3))
-    assert ((quality.Model(0.5, weights).scores(x, count) >= 0.5) == label).all()
+def plain_score(w, passages):
+    """Score of one document from the definition, and the attention its passages get."""
+    encoded = [np.tanh((p - w["mean"]) / w["scale"] @ w["encode"] + w["encode_0"]) for p in passages]
+    raised = [np.exp(sum(np.tanh(h @ w["view"][:, i]) / (1 + np.exp(-h @ w["gate"][:, i])) * w["attend"][i] for i in range(len(w["attend"]))))
+              for h in encoded]
+    attention = [r / sum(raised) for r in raised]
+    whole = sum(a * h for a, h in zip(attention, encoded))
+    return 1 / (1 + np.exp(-(whole @ w["weigh"] + w["weigh_0"][0]))), attention
+
+
+def bags(seed, size=5):
+    rng = np.random.default_rng(seed)
+    count = rng.integers(1, 6, 12)
+    return rng.normal(size=(count.sum(), size)), count, rng.integers(0, 2, 12), rng.uniform(0.5, 2, 12)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_scores_and_attention_equal_plain_form(seed):
+    x, count, label, weight = bags(seed)
+    weights = quality.learn(x, count, label, weight)
+    scores, (*_, attention, _, _, _) = quality.Model(0.5, weights).bags(x, count)
+    ends = np.cumsum(count)
+    for n, (low, high) in enumerate(zip(ends - count, ends)):
+        score, shares = plain_score(weights, x[low:high])
+        assert scores[n] == pytest.approx(score, abs=1e-6)
+        assert attention[low:high] == pytest.approx(shares, abs=1e-6)
+    assert ((scores >= 0.5) == label).mean() > 0.9
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_slopes_match_differences(monkeypatch, seed):
+    """The first step moves every weight against the slope of the loss, taken here from differences of the plain form."""
+    x, count, label, weight = bags(seed)
+    ends = np.cumsum(count)
+    monkeypatch.setattr(quality, "EPOCHS", 0)
+    start = {k: v.astype(float) for k, v in quality.learn(x, count, label, weight).items()}
+    monkeypatch.setattr(quality, "EPOCHS", 1)
+    moved = quality.learn(x, count, label, weight)
+
+    def loss(w):
+        scores = np.array([plain_score(w, x[low:high])[0] for low, high in zip(ends - count, ends)])
+        decay = sum((w[k] ** 2).sum() for k in w if k not in ("mean", "scale")) * 1e-4 / 2
+        return -(weight * np.log(np.where(label == 1, scores, 1 - scores))).sum() / weight.sum() + decay
+
+    checked = 0
+    for name in ("encode", "encode_0", "view", "gate", "attend", "weigh", "weigh_0"):
+        for at in np.ndindex(start[name].shape):
+            up, down = ({**start, name: start[name].copy()} for _ in range(2))
+            up[name][at] += 1e-5
+            down[name][at] -= 1e-5
+            slope = (loss(up) - loss(down)) / 2e-5
+            if abs(slope) > 1e-5:  # others are within the error of the differences
+                assert moved[name][at] - start[name][at] == pytest.approx(-quality.STEP * np.sign(slope), abs=1e-4), (name, at)
+                checked += 1
+    assert checked > 0.9 * sum(start[k].size for k in start if k not in ("mean", "scale"))
 
 
 def test_odd_rows(edge_docs, model):

@@ -1,9 +1,12 @@
 import math
+import re
+from collections import Counter
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from clickloom.llm import url_filter
+from clickloom.llm import queries, url_filter
 from clickloom.llm.queries import URL_RULES
 
 URLS = [
@@ -69,3 +72,73 @@ def test_counts_of_all_labelled_urls(spark):
     assert model.trees is not None
     times = {r.suffix_2: round(math.expm1(r.f_times_2)) for r in model.suffixes[1].collect()}
     assert times == {"hot.com": 200, "rare.org": 2, **{f"b{i}.com": 1 for i in range(50)}}
+
+
+# The query in plain Python, but for the walk down the trees.
+
+
+def parts(url):
+    rest = (url or "").split("://", 1)
+    if len(rest) < 2:
+        return "", ""
+    host, path = re.match(r"([^/?#]*)([^?#]*)", rest[1]).groups()
+    return re.sub("[A-Z]", lambda m: m.group().lower(), host), path
+
+
+def rule(url):
+    host, path = parts(url)
+    fitting = [r for r in URL_RULES for own, _, rest in [r.partition("/")]
+               if (host == own or host.endswith("." + own)) and path.startswith("/" + rest)]
+    return max(fitting, key=len, default=None)
+
+
+def entropy(text):
+    return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
+
+
+def share(text, kept):
+    return len(re.findall(f"[{kept}]", text)) / max(len(text), 1)
+
+
+def suffixes(url):
+    labels = parts(url)[0].split(".")
+    return [(n, ".".join(labels[-n:])) for n in (1, 2)]
+
+
+def described(url, blocked, seen):
+    (host, path), text = parts(url), url or ""
+    query = re.search(r"\?([^#]*)", text)
+    found = [
+        len(text), len(host), len(path), path.count("/"), share(text, "0-9"), share(host, "0-9"), share(text, "A-Za-z"), entropy(text),
+        entropy(host), query.group(1).count("=") if query else 0, host.count(".") + 1, host.count("-"), text.startswith("https"), "#" in text,
+    ]
+    for suffix in suffixes(url):
+        n = seen[suffix]
+        found += [(blocked[suffix] + 1) / (n + 2) if n else 0.5, math.log1p(n)]
+    return [float(x) for x in found]
+
+
+def judged(urls, trees):
+    """(rule, verdict, score) of each URL."""
+    blocked, seen = Counter(), Counter()
+    for url in urls:
+        if rule(url):
+            for suffix in suffixes(url):
+                seen[suffix] += 1
+                blocked[suffix] += URL_RULES[rule(url)] == "block"
+    scores = {u: float(trees.predictProbability(Vectors.dense(described(u, blocked, seen)))[1]) for u in set(urls)}
+    return [(rule(u), URL_RULES[rule(u)] if rule(u) else "block" if scores[u] >= 0.5 else "allow", scores[u]) for u in urls]
+
+
+def test_query_equals_plain_form(spark, small, monkeypatch):
+    """Every row of the pages: features, suffix counts over all labelled URLs, rules and verdicts."""
+    models, fit = [], url_filter.fit
+    monkeypatch.setattr(url_filter, "fit", lambda *args: models.append(fit(*args)) or models[-1])
+    pages = queries.table(spark, small, "pages").select("page_id", "url").collect()
+    found = {r.page_id: r for r in queries.QUERIES["op2_boosted_url_filter"](spark, small).collect()}
+    assert len(found) == len(pages)
+    for page, (name, verdict, score) in zip(pages, judged([p.url for p in pages], models[0].trees), strict=True):
+        row = found[page.page_id]
+        assert (row.host, row.path, row.rule, row.verdict) == (*parts(page.url), name, verdict)
+        assert row.score == pytest.approx(score, abs=1e-9)
+    assert {r.verdict for r in found.values() if r.rule is None} == {"block", "allow"}
