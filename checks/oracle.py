@@ -446,6 +446,11 @@ ORACLES = {
             'Feature engineering complete.' AS status"""),
 }
 
+ORACLES["orc_feature_table"] = ORACLES["feature_table"]
+ORACLES["saved_model_predictions"] = ORACLES["nb_predictions"]
+ORACLES["output_rows"] = _with(
+    "counted", "SELECT count(*) AS rows_written, count(*) AS rows_read, count(DISTINCT user_id) AS users FROM counted",
+)
 ORACLES["placed_features"] = ORACLES["feature_table"]
 ORACLES["placed_profiles"] = _with("assigned", """
     SELECT user_id, label, CASE label WHEN 0 THEN 'low-value' WHEN 1 THEN 'high-value' ELSE 'unknown' END AS label_name,

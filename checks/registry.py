@@ -4,8 +4,10 @@ Where the operator under test is not a fit, predictions, clusters and coordinate
 on the feature table, so that plain SQL can follow.
 """
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from clickloom import constants as C
 from clickloom.operators import (
     cleaning, counts, evaluation, features, lookups, models, scaling, segmentation, sessions, telemetry,
 )
-from clickloom.plans import classification_job, segmentation_job
+from clickloom.plans import classification_job, feature_job, segmentation_job
 from clickloom.session import configure
 from clickloom.sources import counts_tsv, event_table, raw_log, storage
 
@@ -414,6 +416,31 @@ def feature_export(spark, sf_dir):
     return stored_features(spark, sf_dir)
 
 
+@query
+def orc_feature_table(spark, sf_dir):
+    """Database, partitioned columnar table in it, read back by name; the catalog forgets both."""
+    database = f"checks_{uuid.uuid4().hex}"
+    storage.create_database(spark, database, storage.scratch_dir(spark, "database"))
+    try:
+        table = f"{database}.feature_table"
+        storage.save_table(feature_rows(spark, sf_dir), table, partition_by="dt", order_by="user_id")
+        return storage.stage(feature_job.read_features(spark, table), "orc_rows")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+@query
+def output_rows(spark, sf_dir):
+    """What the counting job says that it wrote, and what is found in its run."""
+    log, counted = storage.scratch_dir(spark, "raw_log"), storage.scratch_dir(spark, "counts")
+    event_table.lines(spark, sf_dir).select("line").write.options(compression="gzip", maxRecordsPerFile=500_000).text(log)
+    told = feature_job.count_actions(spark, log, counted)
+    found = counts_tsv.read_latest_run(spark, counted)
+    return found.agg(F.count("*").alias("rows_read"), F.countDistinct("user_id").alias("users")).select(
+        F.lit(told["rows_written"]).cast("long").alias("rows_written"), "rows_read", "users",
+    )
+
+
 @query
 def model_input(spark, sf_dir):
     return features.model_input(feature_rows(spark, sf_dir)).drop("dt")
@@ -464,6 +491,15 @@ def nb_predictions(spark, sf_dir):
     return models.fit_naive_bayes(train).transform(test).select("user_id", "label", "nb_pred")
 
 
+@query
+def saved_model_predictions(spark, sf_dir):
+    """Predictions of a model that was saved and loaded."""
+    train, test = scaling.split(stored_model_input(spark, sf_dir))
+    path = storage.scratch_dir(spark, "saved_model")
+    storage.save_model(models.fit_naive_bayes(train), path)
+    return PipelineModel.load(path).transform(test).select("user_id", "label", "nb_pred")
+
+
 @query
 def svm_predictions(spark, sf_dir):
     rows = stored_model_input(spark, sf_dir)
