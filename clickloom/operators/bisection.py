@@ -66,8 +66,12 @@ class Bisection:
         return str(cluster)
 
     def stage(self, output: str = "cluster") -> SQLTransformer:
-        """Pipeline stage that adds the number; it is saved with its pipeline."""
-        return SQLTransformer(statement=f"SELECT *, {self.expression()} AS {output} FROM __THIS__")
+        """Pipeline stage that adds the number; it is saved with its pipeline.
+
+        Without splits it is zero, but taken from a column: joins by a constant would become products.
+        """
+        number = self.expression() if self.splits else f"CAST(least(0, abs(CAST({next(iter(self.columns))} AS DOUBLE))) AS INT)"
+        return SQLTransformer(statement=f"SELECT *, {number} AS {output} FROM __THIS__")
 
 
 def _beyond(columns: dict[str, tuple[float, float]], direction, bound: float) -> str:
