@@ -1,11 +1,12 @@
 import json
 
+import pyarrow as pa
 import pytest
 from conftest import record
 
 from clickloom.operators import cleaning, counts
 from clickloom.plans import feature_job
-from clickloom.sources import raw_log, spanning
+from clickloom.sources import raw_log, spanning, storage
 
 
 def users(events):
@@ -83,3 +84,49 @@ def test_counting_job_over_spanning_objects(spark, tmp_path):
     want = counts.action_counts(raw_log.type_events(flat)).collect()
     got = counts.action_counts(raw_log.read_events(spark, str(tmp_path / "log"), spanning=True)).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_only_what_crosses_an_edge_is_shuffled(spark, tmp_path, monkeypatch):
+    """Objects that lie within a segment go on from the table of cut ones as they are."""
+    stored, stage = {}, storage.stage
+    monkeypatch.setattr(storage, "stage", lambda df, name: stored.setdefault(name, stage(df, name)))
+    (tmp_path / "log.json").write_text("\n".join(PRETTY) + '\n{"open": [\n1,')
+    lines = spanning.read_lines(spark, str(tmp_path))
+    assert lines.count() == 121
+    assert stored["cut"].where("line IS NULL").selectExpr("sum(size(pieces))").first()[0] == 2
+    text = lines._jdf.queryExecution().optimizedPlan().toString()
+    whole, edges = text[text.index("Union"):].split("isnotnull(line", 1)[0], text.split("isnotnull(line", 1)[1]
+    assert not any(word in whole for word in ("Aggregate", "Window", "Join", "Sort"))
+    assert "Aggregate" in text and "isnull(line" in edges
+
+
+@pytest.mark.parametrize("indent", [None, 4])
+def test_objects_across_segments(spark, tmp_path, indent):
+    """One block of several segments, with records that start anew and with an array, whose depth goes on."""
+    text = "\n".join(PRETTY * 8) if indent is None else json.dumps([json.loads(p) for p in PRETTY * 8], indent=indent)
+    assert text.count("\n") > spanning.SEGMENT_PIECES
+    assert users(read(spark, tmp_path, text)) == sorted(USERS * 8)
+
+
+def test_segments_of_any_size_give_the_same_objects(monkeypatch):
+    lines = "\n".join([*PRETTY[:3], "[", "  {", '"a": {}}, {"b"', ": 1", "}", "]", "}", " {", "", '"}', "{", *PRETTY[3:5]]).split("\n")
+    batch = pa.record_batch([pa.array([line.encode() for line in lines]), pa.array(["f"] * len(lines)), pa.array([0] * len(lines))], ["value", "file", "block"])
+
+    def pieces():
+        found = {}
+        for segment in spanning._segments([batch.slice(0, 7), batch.slice(7)]):
+            row = segment.to_pylist()[0]
+            for first, start, run, _ in spanning._objects(row["text"], row["at"], row["depth"]):
+                begun = start or max(found)
+                found[begun] = found.get(begun, []) + run
+        return found
+
+    want = pieces()
+    for size in (1, 2, 5, 13):
+        monkeypatch.setattr(spanning, "SEGMENT_PIECES", size)
+        assert pieces() == want
+
+
+def test_bytes_that_are_not_text(spark, tmp_path):
+    (tmp_path / "log.json").write_bytes(b'{"a":\n"\xff\xe2\x82"\n}\n' + PRETTY[0].encode())
+    assert sorted(r.line for r in spanning.read_lines(spark, str(tmp_path)).collect()) == sorted(['{"a":\n"\ufffd\ufffd"\n}', PRETTY[0]])
